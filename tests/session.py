@@ -1,0 +1,25 @@
+"""The local session of tests and tools."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+
+def build(partitions: int = 8) -> SparkSession:
+    spark = (
+        SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        .appName("corpusgauge")
+        .config("spark.driver.host", "127.0.0.1")
+        .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
