@@ -21,8 +21,11 @@ def error_slices(predictions: DataFrame) -> DataFrame:
     """
     slices = F.array(
         F.struct(F.lit("subject").alias("slice_type"), F.col("true_label").alias("slice_value")),
-        F.struct(F.lit("source"), F.col("source_name")),
-        F.struct(F.lit("length_band"), band(F.col("text_length"), LENGTH_BANDS)),
+        F.struct(F.lit("source").alias("slice_type"), F.col("source_name").alias("slice_value")),
+        F.struct(
+            F.lit("length_band").alias("slice_type"),
+            band(F.col("text_length"), LENGTH_BANDS).alias("slice_value"),
+        ),
     )
     counted = (
         predictions.select(F.inline(slices), "is_correct")

@@ -132,9 +132,9 @@ def majority_baseline(
         F.count(F.lit(1)).alias("n")
     )
     totals = cells.groupBy("true_label").agg(F.sum("n").alias("total"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).cast("bigint")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(folds - 1).cast("bigint"))
     rest = (
-        totals.select("true_label", "total", every.alias("fold"))
+        totals.select("true_label", "total", F.explode(every).alias("fold"))
         .join(cells, ["fold", "true_label"], "left")
         .withColumn("outside", F.col("total") - F.coalesce("n", F.lit(0)))
     )
@@ -271,8 +271,14 @@ def headline(
     ).select(
         F.inline(
             F.array(
-                F.struct(F.lit("strongest_class").alias("name"), F.initcap("strongest_class").alias("text"), F.col("strongest_f1").alias("value")),
-                F.struct(F.lit("weakest_class"), F.initcap("weakest_class"), F.col("weakest_f1")),
+                *[
+                    F.struct(
+                        F.lit(f"{end}_class").alias("name"),
+                        F.initcap(f"{end}_class").alias("text"),
+                        F.col(f"{end}_f1").alias("value"),
+                    )
+                    for end in ("strongest", "weakest")
+                ]
             )
         )
     )

@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.sources.tables import read_parquet
@@ -91,13 +91,15 @@ QUESTIONS_SQL = """questions AS (
 )"""
 
 
+def _votes(label: str) -> Column:
+    return F.size(F.filter("hits", lambda word: word.isin(STOP_WORDS[label]))).cast("bigint")
+
+
 def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = [word for label in LABELS for word in STOP_WORDS[label]]
     hits = F.filter(F.split(F.lower("text"), "[ \t\r\n]+"), lambda w: w.isin(every))
     voted = table(spark, sf_dir, "documents").select("*", hits.alias("hits"))
-    for label in LABELS:
-        chosen = F.filter("hits", lambda w, label=label: w.isin(STOP_WORDS[label]))
-        voted = voted.withColumn(f"v_{label}", F.size(chosen).cast("bigint"))
+    voted = voted.withColumns({f"v_{label}": _votes(label) for label in LABELS})
     votes = [F.col(f"v_{label}") for label in LABELS]
     best = F.greatest(*votes)
     predicted = F.lit("es")
