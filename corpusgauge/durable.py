@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and continue from its checkpoint files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once, as a table beside the checkpoints, and continue from that table.
+
+    A checkpointed frame keeps the constraints of its old plan, and in loops these grow without
+    bound; a table starts a fresh plan, lets later steps read only the columns they need, and
+    gives the planner its true size.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
