@@ -57,9 +57,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), 1)
 
 
-def token_ngrams(text: Column, low: int, high: int) -> Column:
-    """Token n-grams of every length from ``low`` to ``high``, joined by one space."""
-    units = tokens(text)
+def token_ngrams(units: Column, low: int, high: int) -> Column:
+    """N-grams of every length from ``low`` to ``high`` of a token column, joined by one space.
+
+    ``units`` must be a plain column: an expression would be evaluated again for every n-gram.
+    """
     grams = []
     for length in range(low, high + 1):
         if length == 1:
