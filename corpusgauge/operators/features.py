@@ -20,9 +20,15 @@ MAX_FEATURES = 20_000_000
 def word_counts(
     df: DataFrame, id: str = "question_id", text: str = "question_text", low: int = 1, high: int = 1
 ) -> DataFrame:
-    """(id, feature, tf) of token n-grams."""
+    """(id, feature, tf) of token n-grams.
+
+    Texts are spread by id before they are cut: the counts, which outweigh them, then stay put.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.select(F.col(id).alias("id"), tokens(F.col(text)).alias("_units"))
+        df.select(F.col(id).alias("id"), F.col(text).alias("_text"))
+        .repartition(parts, "id")
+        .select("id", tokens(F.col("_text")).alias("_units"))
         .select("id", F.explode(token_ngrams(F.col("_units"), low, high)).alias("feature"))
         .groupBy("id", "feature")
         .agg(F.count(F.lit(1)).alias("tf"))
