@@ -34,7 +34,36 @@ def materialize(df: DataFrame) -> DataFrame:
     bound; a table starts a fresh plan, lets later steps read only the columns they need, and
     gives the planner its true size.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Steps(df.sparkSession).keep(df)
+
+
+class Steps:
+    """Step tables of one run, in a folder of their own that all executors share.
+
+    A table stays until ``drop`` is called for it: a lazy result may still read it.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
+        self._paths: dict[int, str] = {}
+
+    def path(self, name: str | None = None) -> str:
+        return f"{self.folder}/{name or uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` and read it back."""
+        path = self.path()
+        df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(kept)] = path
+        return kept
+
+    def drop(self, *tables: DataFrame | str) -> None:
+        """Delete tables (or paths of this run) that nothing reads any more."""
+        for table in tables:
+            path = table if isinstance(table, str) else self._paths.pop(id(table))
+            if not path.startswith(f"{self.folder}/"):
+                raise ValueError(f"{path} is not a step of this run")
+            jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
