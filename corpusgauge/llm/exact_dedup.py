@@ -24,6 +24,8 @@ from corpusgauge.operators.keyed import lookup_join
 # The characters of [\x20\x09-\x0D].
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 ROWS_PER_BUCKET = 2_000_000
+#: Digests broadcast at once; 100,000 of them take about 25 MB.
+BROADCAST_DIGESTS = 100_000
 
 
 def text_digest(text: Column) -> Column:
@@ -99,7 +101,7 @@ def deduplicate(
     index.append(index.new_only(groups))
     kept = steps.keep(index.keepers(groups))
     # The digest of a hot group is broadcast, never shuffled.
-    return lookup_join(rows.select("id", "digest"), kept, "digest", "group_size").select(
+    return lookup_join(rows.select("id", "digest"), kept, "digest", "group_size", BROADCAST_DIGESTS).select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",

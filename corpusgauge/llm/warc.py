@@ -29,6 +29,8 @@ RECORD_END = CRLF + CRLF
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32_HEX_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Digests broadcast at once; 100,000 of them take about 25 MB.
+BROADCAST_DIGESTS = 100_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -148,7 +150,7 @@ def write_archive(
     keep = steps.keep(
         rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
     )
-    marked = lookup_join(rows, keep, "digest", "copies").withColumn(
+    marked = lookup_join(rows, keep, "digest", "copies", BROADCAST_DIGESTS).withColumn(
         "response", F.col("id").eqNullSafe(F.col("keep_id")) | (F.col("n_bytes") < least_bytes)
     )
     heads = steps.keep(record_heads(marked, date).select("id", "digest", "head", "response", "keep_id"))
@@ -207,5 +209,5 @@ def read_archive(archive: Archive, steps: Steps) -> DataFrame:
     columns = ["id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_bytes"]
     first = found.withColumn("refers_to", F.lit(None).cast(dict(again.dtypes)["keep_id"]))
     return first.select(columns).unionByName(
-        lookup_join(again, known, "digest", "copies").withColumnRenamed("keep_id", "refers_to").select(columns)
+        lookup_join(again, known, "digest", "copies", BROADCAST_DIGESTS).withColumnRenamed("keep_id", "refers_to").select(columns)
     )
