@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, packing, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,9 @@ def op4_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document with the whole-token shortcut."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
