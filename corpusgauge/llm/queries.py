@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, packing, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,3 +93,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
