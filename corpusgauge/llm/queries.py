@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, packing, secrets, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, language_id, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +99,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by frozen context trees."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
