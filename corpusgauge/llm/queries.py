@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, language_id, packing, secrets, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,3 +105,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by frozen context trees."""
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase fingerprints of every document, its edited text and its successor."""
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
