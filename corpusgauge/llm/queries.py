@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, packing, secrets, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, near_dedup, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrase fingerprints of every document, its edited text and its successor."""
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op3_near_dedup")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near duplicates among all documents: three-word shingles, likeness 0.85."""
+    grouped = near_dedup.group(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return grouped.select("doc_id", "n_shingles", "component_id", "kept")
