@@ -66,14 +66,37 @@ class Transducer:
     def __init__(self, vocab: Vocabulary) -> None:
         self.vocab = vocab
         self.whole, self.longest = vocab.whole, vocab.longest
-        # Every ending of a token: a walk backwards stops where no token can end that way.
-        self.endings = {token[at:] for token in vocab.whole for at in range(len(token))}
+        # Every ending of a token, with the token's id or -1: a walk backwards stops where no token
+        # can end that way.
+        self.endings = {token[at:]: -1 for token in vocab.whole for at in range(len(token))}
+        self.endings.update(vocab.whole)
+        # The two tokens that the last merge of a token joins, and the rank of that merge.
+        self.parts = {number: tuple(vocab.merge(token, 2)) for token, number in vocab.whole.items() if len(token) > 1}
+        self.formed = {number: vocab.merges[pair][0] for number, pair in self.parts.items()}
         self._joined = Memo(self._compatible, longest=2)
         self.start()
 
     def _compatible(self, pair: tuple[int, int]) -> bool:
-        text = self.vocab.text
-        return self.vocab.merge(text[pair[0]] + text[pair[1]]) == [*pair]
+        """Whether the merges never join anything across the border of the two tokens.
+
+        Time runs backwards: the token that was formed later is undone to the part at the border.
+        A pair of neighbours would have been merged if its rank came before that step's.
+        """
+        left, right = pair
+        merges, parts, formed = self.vocab.merges, self.parts, self.formed
+        limit = len(merges)
+        while True:
+            found = merges.get((left, right))
+            if found is not None and found[0] < limit:
+                return False
+            of_left, of_right = formed.get(left, -1), formed.get(right, -1)
+            if of_left > of_right:
+                limit, left = of_left, parts[left][1]
+            elif of_right >= 0:
+                # Of equal merges the left one comes first, so the border's own would come before this.
+                limit, right = of_right + 1, parts[right][0]
+            else:
+                return True
 
     def start(self) -> None:
         self.window = bytearray()  # bytes after the last emitted token
@@ -95,23 +118,44 @@ class Transducer:
         return rest
 
     def encode(self, data: bytes) -> list[int]:
-        """A whole short pre-token."""
-        for byte in data:
-            self._step(byte)
-        return self.finish()
+        """A whole short pre-token: the same steps without the window."""
+        token = self.whole.get(data)
+        if token is not None:
+            return [token]
+        endings, joined = self.endings, self._joined
+        starts, tokens = [0], [-1]
+        for end in range(1, len(data) + 1):
+            found, start = [], end - 1
+            while start >= 0:
+                token = endings.get(data[start:end])
+                if token is None:
+                    break
+                if token >= 0:
+                    found.append((start, token))
+                start -= 1
+            for start, token in reversed(found):
+                before = tokens[start]
+                if before < 0 or joined[before, token]:
+                    break
+            starts.append(start)
+            tokens.append(token)
+        ids, end = [], len(data)
+        while end:
+            ids.append(tokens[end])
+            end = starts[end]
+        ids.reverse()
+        return ids
 
     def _step(self, byte: int) -> None:
         self.window.append(byte)
         window, end = self.window, len(self.window)
         found, start = [], end - 1
-        least = max(0, end - self.longest)
-        endings, whole = self.endings, self.whole
-        while start >= least:
-            piece = bytes(window[start:end])
-            if piece not in endings:
+        endings = self.endings
+        while start >= 0:
+            token = endings.get(bytes(window[start:end]))
+            if token is None:
                 break
-            token = whole.get(piece)
-            if token is not None:
+            if token >= 0:
                 found.append((start, token))
             start -= 1
         for start, token in reversed(found):

@@ -92,11 +92,14 @@ class Vocabulary:
         self.whole = {token: number for token, number in ids.items() if self.merge(token) == [number]}
         self.longest = max(map(len, self.whole), default=1)
 
-    def merge(self, data: bytes) -> list[int]:
-        """Ids of one pre-token: the lowest-ranked adjacent pair is merged, leftmost first."""
+    def merge(self, data: bytes, stop: int = 1) -> list[int]:
+        """Ids of one pre-token: the lowest-ranked adjacent pair is merged, leftmost first.
+
+        Merging ends early when ``stop`` ids are left.
+        """
         ids = [self.byte_ids[byte] for byte in data]
         merges = self.merges
-        while len(ids) > 1:
+        while len(ids) > stop:
             best, at = None, -1
             for i, pair in enumerate(zip(ids, ids[1:])):
                 found = merges.get(pair)
