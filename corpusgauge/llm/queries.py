@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, near_dedup, packing, secrets, token_counts, warc
+from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, lm, near_dedup, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +118,9 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near duplicates among all documents: three-word shingles, likeness 0.85."""
     grouped = near_dedup.group(table(spark, sf_dir, "documents"), words=3, percent=85)
     return grouped.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_lm_scores")
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a model of the training documents."""
+    return lm.score_documents(table(spark, sf_dir, "documents"))
