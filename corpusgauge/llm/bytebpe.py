@@ -141,11 +141,14 @@ class Memo(dict):
             value = self.compute(key)
             if len(key) > self.longest:
                 return value
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def cut_at_spaces(text: str) -> list[str] | None:

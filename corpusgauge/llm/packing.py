@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm.bytebpe import Memo
+from corpusgauge.llm.bytebpe import Memo, byte_alphabet
 from corpusgauge.operators.keyed import number_rows
 
 #: Cut tails broadcast at once (16 bytes each); more are joined by a shuffle.
@@ -41,12 +42,23 @@ PIECE = "id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigi
 # ---------------------------------------------------------------- tokens
 
 
+# Words of these characters, none of them a capital, pass the vocabulary's normalizer unchanged.
+PLAIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ſ]+")
+# Fixed value: the vocabulary's pre-token pattern, for such words.
+PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
+# Every combining mark lies here.
+MARKS = re.compile("[\u0300-\U0010ffff]")
+BYTE_SHOWN = {byte: shown for shown, byte in byte_alphabet().items()}
+
+
 class WordTokenizer:
     """Ids of whole texts by the tokenizers library, asked once per word.
 
     The vocabulary drops white space and its pre-tokens never span any, so words between ASCII
     white space can be encoded alone. Capitals A-Z are lowered first (the vocabulary is lower
-    case), except in a text that may hold a special string. Words are remembered in a bounded memo.
+    case), except where a special string or a combining mark may be near. Words whose normal form and pre-tokens
+    are plain go straight to the library's merges, the others through all of it. Words are
+    remembered in a bounded memo.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,25 +68,28 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo = Memo(self._one, limit=200_000)
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in found]
+        self.model = self.library.model
+        self.pieces = Memo(self._piece, limit=50_000)
+        self.memo = Memo(self._word, limit=200_000)
 
-    def _one(self, word: bytes) -> bytes:
-        return self._ids([word])[0]
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_SHOWN)
+        return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
-    def learn(self, words: list[bytes]) -> None:
-        """Ask for the words that are not remembered, in one call."""
-        memo, older = self.memo, self.memo.older
-        new = [word for word in set(words) if word not in memo and word not in older and len(word) <= memo.longest]
-        for word, ids in zip(new, self._ids(new)):
-            memo.older[word] = ids
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if PLAIN_WORD.fullmatch(text) and "<|" not in text and text == text.lower():
+            return b"".join(map(self.pieces.__getitem__, PLAIN_PIECE.findall(text)))
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def split(self, text: str) -> list[bytes]:
-        data = text.encode()
-        return (data if "<|" in text else data.lower()).split()
+        """Words between ASCII white space, their A-Z lowered where that cannot change the ids."""
+        if "<|" in text:
+            return text.encode().split()
+        if text.isascii() or not MARKS.search(text):
+            return text.encode().lower().split()
+        # A mark after a letter may compose with its small form and not with its capital.
+        return [word.lower() if word.isascii() else word for word in text.encode().split()]
 
     def encode(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.memo.__getitem__, words))
@@ -103,7 +118,6 @@ def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str,
             for part in range(0, batch.num_rows, 1000):
                 piece = batch.slice(part, 1000)
                 words = [tokenizer.split(cell.as_py()) for cell in piece.column("text")]
-                tokenizer.learn([word for own in words for word in own])
                 ids = [tokenizer.encode(own) + end for own in words]
                 whole = [len(own) // step * step for own in ids]
                 crcs = [[zlib.crc32(own[at : at + step]) for at in range(0, cut, step)] for own, cut in zip(ids, whole)]
@@ -138,6 +152,8 @@ def _disjoint(combos: np.ndarray, gain: np.ndarray, window: int) -> np.ndarray:
     """Of the combinations with positive gain, a set that shares no length, best gains first."""
     chosen = []
     left = np.flatnonzero(gain > 0)
+    if len(left) > 16 * window:  # the largest gains are enough for one round
+        left = left[np.argpartition(-gain[left], 16 * window)[: 16 * window]]
     left = left[np.argsort(-gain[left], kind="stable")]
     while len(left):
         first = np.full(window, len(left))

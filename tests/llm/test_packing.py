@@ -1,5 +1,6 @@
 """Packing: ids by the library, every id in one piece, gapless sequences, little padding."""
 
+import random
 import zlib
 from array import array
 from collections import defaultdict
@@ -50,6 +51,17 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
+def test_ids_equal_the_library(library):
+    tokenizer, draw = packing.WordTokenizer(PATH), random.Random(3)
+    ranges = [(0x21, 0x180), (0x20, 0x7F), (0x300, 0x370), (0x20, 0x3000)]
+    texts = ["".join(chr(draw.randrange(*draw.choice(ranges))) for _ in range(60)) for _ in range(3000)]
+    texts += ["".join(chr(draw.randrange(0x21, 0x180)) for _ in range(12)) for _ in range(5000)]
+    texts += ["T\u0308 t\u0308 X\x1cy 'S'LL <|Endoftext|> <|endoftext|>A İſKÅ"]
+    for text in texts:
+        wanted = array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+        assert tokenizer.encode(tokenizer.split(text)) == wanted, repr(text)
+
+
 @pytest.mark.parametrize("window", [2048, 32])
 def test_given_documents(spark, library, window):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

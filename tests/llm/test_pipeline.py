@@ -53,14 +53,14 @@ def test_stages_on_given_documents(spark):
 def test_odd_rows(spark):
     text = "the cat and the dog saw a bird on the roof of the old house by the sea "
     rows = [(1, text, "en", None, 5, 0), (1, text, "en", None, 5, 0), (None, text * 3, None, "x", None, 1), (2, None, "en", "x", 0, 1),
-            (3, "", "en", "x", 0, 1), (4, "123 456", "en", "x", 7, 1), (5, text + "token=abcdefghijklmnopq", "en", "x", 9, 1)]
+            (3, "", "en", "x", 0, 1), (4, "123 456", "en", "x", 7, 1), (5, "a bird and a dog in the old roof token=abcdefghijklmnopq by the cat", "en", "x", 9, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row_number int")
     for _, stage in pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "row_number"]
     got = rows_of(docs)
     assert len({hashlib.md5(row[1].encode()).hexdigest() for row in got}) == len(got)
-    assert all(row[2] == "en" for row in got) and any("[SECRET]" in row[1] for row in got) or len(got) == 1
+    assert all(row[2] == "en" for row in got) and any("[SECRET]" in row[1] for row in got)
     assert pipeline.pack(spark, docs, "").count() >= len(got)
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in pipeline.STAGES:
