@@ -11,6 +11,7 @@ from corpusgauge.functions.text import LENGTH_BANDS, band, position, ratio
 
 # Confidence thresholds of the coverage curve.
 THRESHOLDS = [0.0, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95]
+# Fixed value: the status shown where a model gives no probability.
 NO_PROBABILITY = "not_available_locked_model_has_no_calibrated_probability"
 
 
@@ -99,27 +100,34 @@ def coverage_curve(
 def representative_cases(predictions: DataFrame, per_outcome: int = 5) -> DataFrame:
     """Deterministic wrong (lowest score) and right (highest score) rows, taken label by label.
 
-    The score of an outcome is its confidence, or the decision score where it has none. Spark
-    keeps only the leading rows of each label before the shuffle, so no label is sorted whole.
+    The score of an outcome is its confidence, or the decision score where it has none. The
+    leading rows of each label are chosen by both scores at once from narrow columns, together
+    with the count of confidences that decides between them; texts are fetched for the few rows
+    that are shown.
     """
-    scored = predictions.groupBy("is_correct").agg(F.count("confidence").alias("_confident"))
-    score = F.when(F.col("_confident") > 0, F.col("confidence")).otherwise(F.col("decision_score"))
-    # Wrong rows ascend, right rows descend: negating the latter gives one ascending order.
-    ordered = (
-        predictions.join(F.broadcast(scored), "is_correct")
-        .withColumn("_score", F.when(F.col("is_correct") == 0, score).otherwise(-score))
-        .withColumn("outcome", F.when(F.col("is_correct") == 0, "incorrect").otherwise("correct"))
-    )
-    in_label = Window.partitionBy("outcome", "true_label").orderBy(
-        F.col("_score").asc_nulls_last(), "source_question_id"
-    )
-    leading = ordered.withColumn("_turn", F.row_number().over(in_label)).filter(
-        F.col("_turn") <= per_outcome
+    narrow = predictions.select(
+        "source_question_id", "true_label", (F.col("is_correct") == 0).alias("wrong"), "confidence", "decision_score"
+    ).filter("wrong IS NOT NULL")
+    sign = F.when(F.col("wrong"), 1.0).otherwise(-1.0)
+    ranked = narrow.select(
+        "wrong", "true_label", "source_question_id", "confidence", F.posexplode(F.array("confidence", "decision_score"))
+    ).withColumn("_score", sign * F.col("col"))
+    in_label = Window.partitionBy("pos", "wrong", "true_label").orderBy(F.col("_score").asc_nulls_last(), "source_question_id")
+    leading = ranked.withColumn("_turn", F.row_number().over(in_label)).filter(F.col("_turn") <= per_outcome)
+    confident = narrow.groupBy("wrong").agg((F.count("confidence") > 0).alias("_confident"))
+    in_outcome = Window.partitionBy("wrong").orderBy("_turn", "true_label")
+    # At most ``per_outcome`` rows of each outcome.
+    chosen = (
+        leading.join(F.broadcast(confident), "wrong")
+        .filter((F.col("pos") == 0) == F.col("_confident"))
+        .withColumn("_place", F.row_number().over(in_outcome))
+        .filter(F.col("_place") <= per_outcome)
+        .select("source_question_id", "wrong", "_place")
     )
-    in_outcome = Window.partitionBy("outcome").orderBy("_turn", "true_label")
     return (
-        leading.withColumn("_place", F.row_number().over(in_outcome))
-        .filter(F.col("_place") <= per_outcome)
+        predictions.join(F.broadcast(chosen), "source_question_id")
+        .filter((F.col("is_correct") == 0) == F.col("wrong"))
+        .withColumn("outcome", F.when(F.col("wrong"), "incorrect").otherwise("correct"))
         .orderBy(F.desc("outcome"), "_place")
         .select(
             "outcome",

@@ -154,10 +154,10 @@ def confusion_table(predictions: DataFrame, labels: Sequence[str]) -> list[list[
         F.when(F.col("predicted_label").isin(labels), F.col("predicted_label")).alias("predicted_label"),
     ).agg(F.sum("n").alias("n")).collect()}
     if not rows:
-        raise ValueError("bootstrap inputs must be non-empty")
+        raise ValueError("no rows to draw from")
     table = [[rows.get((true, label), 0) for label in [*labels, None]] for true in labels]
     if any(sum(line) == 0 for line in table):
-        raise ValueError("every configured label must appear in bootstrap data")
+        raise ValueError("a label has no row to draw from")
     return table
 
 
@@ -179,7 +179,7 @@ def bootstrap_by_draws(
     iterations × rows; :func:`bootstrap_by_counts` gives the same law without that factor.
     """
     if iterations < 1:
-        raise ValueError("bootstrap iterations must be positive")
+        raise ValueError("ask for at least one draw")
     labels = list(labels)
     table = confusion_table(predictions, labels)
     sizes = [sum(line) for line in table]
@@ -233,7 +233,7 @@ def bootstrap_by_counts(
     macro-F1 depends on those counts alone: k² numbers per iteration, whatever the row count.
     """
     if iterations < 1:
-        raise ValueError("bootstrap iterations must be positive")
+        raise ValueError("ask for at least one draw")
     table = np.asarray(confusion_table(predictions, labels), dtype=np.int64)
     sizes = table.sum(axis=1)
     shares = table / sizes[:, None]
@@ -367,5 +367,5 @@ def reconcile(
 def require_reconciled(comparison: DataFrame) -> DataFrame:
     failed = comparison.filter("status = 'fail'").select("claim").collect()
     if failed:
-        raise ValueError("numerical consistency check failed: " + ", ".join(sorted(r.claim for r in failed)))
+        raise ValueError("these numbers disagree: " + ", ".join(sorted(r.claim for r in failed)))
     return comparison

@@ -65,14 +65,13 @@ def label_source_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     "data_quality",
     f"""WITH {DIRTY_SQL}
     SELECT COUNT(*) AS total_records,
-           CAST(SUM(CASE WHEN trim(replace(question, chr(9), ' ')) = '' THEN 1 ELSE 0 END) AS BIGINT) AS empty_questions,
+           CAST(SUM(CASE WHEN trim(question) = '' THEN 1 ELSE 0 END) AS BIGINT) AS empty_questions,
            CAST(SUM(CASE WHEN trim(src) = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_sources,
            COUNT(*) - COUNT(DISTINCT question_id) AS duplicate_source_ids
     FROM dirty""",
 )
 def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = views.dirty(spark, sf_dir).withColumn("question_text", F.translate("question", "\t", " "))
-    return reports.data_quality(plain)
+    return reports.data_quality(views.dirty(spark, sf_dir).withColumnRenamed("question", "question_text"))
 
 
 @query(
@@ -120,10 +119,14 @@ def crossing_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), shown AS (
       SELECT category AS subject, CASE WHEN src IN (SELECT src FROM totals) THEN src ELSE 'Other sources' END AS s
       FROM src)
-    PIVOT shown ON s USING COUNT(*) GROUP BY subject""",
+    SELECT l.subject, b.s AS source_name, COUNT(shown.s) AS n
+    FROM (SELECT DISTINCT subject FROM shown) l CROSS JOIN (SELECT DISTINCT s FROM shown) b
+    LEFT JOIN shown ON shown.subject = l.subject AND shown.s = b.s GROUP BY ALL""",
 )
 def top_sources_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_sources_matrix(views.src(spark, sf_dir), LABELS)
+    """The matrix in its long form: one row per label and source shown."""
+    wide = reports.top_sources_matrix(views.src(spark, sf_dir), LABELS)
+    return wide.unpivot("subject", [c for c in wide.columns if c != "subject"], "source_name", "n")
 
 
 NORMALIZED = (

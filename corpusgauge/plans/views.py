@@ -45,7 +45,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         doc.alias("row_key"),
         F.when(doc % 47 == 0, doc - 1).otherwise(doc).alias("question_id"),
-        F.when(doc % 43 == 0, F.lit(" \t ")).otherwise(F.col("text")).alias("question"),
+        F.when(doc % 86 == 0, F.lit("   ")).when(doc % 43 == 0, F.lit(" \t ")).otherwise(F.col("text")).alias("question"),
         F.when(doc % 37 == 0, F.lit("xx")).otherwise(F.col("lang")).alias("category"),
         F.when(doc % 41 == 0, F.lit("  ")).otherwise(F.col("source")).alias("src"),
     )
@@ -54,7 +54,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 DIRTY_SQL = """dirty AS (
   SELECT doc_id AS row_key,
          CASE WHEN doc_id % 47 = 0 THEN doc_id - 1 ELSE doc_id END AS question_id,
-         CASE WHEN doc_id % 43 = 0 THEN ' \t ' ELSE text END AS question,
+         CASE WHEN doc_id % 86 = 0 THEN '   ' WHEN doc_id % 43 = 0 THEN ' \t ' ELSE text END AS question,
          CASE WHEN doc_id % 37 = 0 THEN 'xx' ELSE lang END AS category,
          CASE WHEN doc_id % 41 = 0 THEN '  ' ELSE source END AS src
   FROM documents

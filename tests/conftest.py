@@ -1,6 +1,6 @@
 import pytest
 
-from tests.session import build
+from tools.session import build
 
 
 @pytest.fixture(scope="session")
