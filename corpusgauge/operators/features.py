@@ -35,6 +35,12 @@ def word_counts(
     )
 
 
+def _counts_of(df: DataFrame, counts: DataFrame | None, id: str, text: str, low: int, high: int) -> DataFrame:
+    if counts is None:
+        return word_counts(df, id, text, low, high)
+    return counts.join(df.select(F.col(id).alias("id")), "id", "left_semi")
+
+
 def word_weight(tf: Column, documents: Column | int, frequency: Column) -> Column:
     whole = F.lit(documents) if isinstance(documents, int) else documents
     return (1.0 + F.log(tf.cast("double"))) * (F.log((1.0 + whole) / (1.0 + frequency)) + 1.0)
@@ -42,7 +48,11 @@ def word_weight(tf: Column, documents: Column | int, frequency: Column) -> Colum
 
 @dataclass
 class TfidfModel:
-    """The fitted vocabulary (feature, frequency, index), its size, and the training row count."""
+    """The fitted vocabulary (feature, frequency, index), its size, and the training row count.
+
+    Where ``counts`` are given, a stored :func:`word_counts` table of at least the rows asked for,
+    their texts are not cut again.
+    """
 
     vocabulary: DataFrame
     size: int
@@ -50,9 +60,11 @@ class TfidfModel:
     low: int
     high: int
 
-    def postings(self, df: DataFrame, id: str = "question_id", text: str = "question_text") -> DataFrame:
+    def postings(
+        self, df: DataFrame, id: str = "question_id", text: str = "question_text", counts: DataFrame | None = None
+    ) -> DataFrame:
         """(id, feature, index, weight) with weights of unit length per text."""
-        counts = word_counts(df, id, text, self.low, self.high)
+        counts = _counts_of(df, counts, id, text, self.low, self.high)
         weighted = lookup_join(counts, self.vocabulary, "feature", "frequency").withColumn(
             "_weight", word_weight(F.col("tf"), self.documents, F.col("frequency"))
         )
@@ -62,10 +74,15 @@ class TfidfModel:
         )
 
     def transform(
-        self, df: DataFrame, id: str = "question_id", text: str = "question_text", output: str = "features"
+        self,
+        df: DataFrame,
+        id: str = "question_id",
+        text: str = "question_text",
+        output: str = "features",
+        counts: DataFrame | None = None,
     ) -> DataFrame:
         """``df`` with a sparse unit vector; texts without known features get the zero vector."""
-        counts = word_counts(df, id, text, self.low, self.high)
+        counts = _counts_of(df, counts, id, text, self.low, self.high)
         cells = lookup_join(counts, self.vocabulary, "feature", "frequency").select(
             "id",
             F.struct(
@@ -90,10 +107,11 @@ def fit_tfidf(
     id: str = "question_id",
     text: str = "question_text",
     max_features: int = MAX_FEATURES,
+    counts: DataFrame | None = None,
 ) -> TfidfModel:
     """Vocabulary of features found in at least ``min_df`` rows, numbered in feature order."""
     frequencies = (
-        word_counts(df, id, text, low, high)
+        _counts_of(df, counts, id, text, low, high)
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("frequency"))
         .filter(F.col("frequency") >= min_df)
