@@ -113,7 +113,28 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op3_near_dedup")
+OP3_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words
+), sizes AS MATERIALIZED (
+  SELECT doc_id, COUNT(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), edges AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach(id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), least AS (SELECT id, MIN(other) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least ON id = doc_id
+"""
+
+
+@query("op3_near_dedup", OP3_SQL)
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near duplicates among all documents: three-word shingles, likeness 0.85."""
     grouped = near_dedup.group(table(spark, sf_dir, "documents"), words=3, percent=85)
