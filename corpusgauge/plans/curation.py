@@ -211,6 +211,31 @@ def validation_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validation_profile(annotated(spark, sf_dir))
 
 
+@query(
+    "split_profile",
+    f"""WITH {ANNOTATED_SQL}, placed AS (
+      SELECT *, CASE WHEN row_key % 5 = 0 THEN 'test' ELSE 'development' END AS split_name, row_key // 3 AS group_id FROM annotated
+    ), groups AS (
+      SELECT group_id, MIN(split_name) <> MAX(split_name) AS crossing FROM placed WHERE exclusion_reason IS NULL GROUP BY group_id)
+    SELECT 'rows' AS scope, 'source' AS key, COUNT(*) AS "rows" FROM placed
+    UNION ALL SELECT 'rows', CASE WHEN exclusion_reason IS NULL THEN 'clean' ELSE 'excluded' END, COUNT(*) FROM placed GROUP BY 2
+    UNION ALL SELECT 'label', category, COUNT(*) FROM placed WHERE exclusion_reason IS NULL GROUP BY 2
+    UNION ALL SELECT 'reason', exclusion_reason, COUNT(*) FROM placed WHERE exclusion_reason IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'split', split_name, COUNT(*) FROM placed WHERE exclusion_reason IS NULL GROUP BY 2
+    UNION ALL SELECT 'groups', 'all', COUNT(*) FROM groups
+    UNION ALL SELECT 'groups', 'crossing', COUNT(*) FILTER (crossing) FROM groups""",
+)
+def split_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a split by row, whose groups of three neighbours may cross it."""
+    rows = annotated(spark, sf_dir).withColumns(
+        {
+            "split_name": F.when(F.col("row_key") % 5 == 0, "test").otherwise("development"),
+            "group_id": F.floor(F.col("row_key") / 3),
+        }
+    )
+    return validate.validation_profile(rows, split="split_name", group="group_id")
+
+
 @query(
     "keep_first_text",
     """SELECT doc_id, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) = 1 AS is_first FROM documents""",
