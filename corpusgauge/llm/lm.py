@@ -47,7 +47,7 @@ from corpusgauge.llm.language_id import held_out
 
 MU = 10.0
 BYTES_PER_SHARD = 12_000_000
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_500_000
 STEPS_PER_OCTAVE = 8
 SUCCESSOR_BITS = np.uint64(40)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -85,8 +85,14 @@ def word_shard(codes: np.ndarray, shards: int) -> np.ndarray:
     return (_mixed(codes) % np.uint64(shards)).astype(np.int64)
 
 
-def pair_shard(before: np.ndarray, codes: np.ndarray, shards: int) -> np.ndarray:
-    return (_mixed(before * _OTHER + codes) % np.uint64(shards)).astype(np.int64)
+def successor(codes: np.ndarray) -> np.ndarray:
+    """What a pair keeps of its second word."""
+    return codes >> (np.uint64(64) - SUCCESSOR_BITS)
+
+
+def pair_shard(before: np.ndarray, after: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of first words and successors."""
+    return (_mixed(before * _OTHER + after * _ODD) % np.uint64(shards)).astype(np.int64)
 
 
 def previous(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -97,19 +103,41 @@ def previous(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _counted(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the key columns in order, with their counts or sums of counts."""
-    order = np.lexsort(keys[::-1])
-    keys = [key[order] for key in keys]
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
-    at = np.flatnonzero(new)
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins, and the end."""
+    new = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+    return np.concatenate([[0], new, [len(ordered)]]) if len(ordered) else np.zeros(1, np.int64)
+
+
+def _counted_pairs(
+    before: np.ndarray, after: np.ndarray, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order with their counts, or the sums of their counts.
+
+    The number of the first word and the successor make one integer to sort.
+    """
+    words, number = np.unique(before, return_inverse=True)
+    key = number.astype(np.uint64) << SUCCESSOR_BITS | after
     if counts is None:
-        sums = np.diff(np.append(at, len(order)))
+        key.sort()
+        edges = _runs(key)
+        sums = np.diff(edges)
     else:
-        sums = np.add.reduceat(counts[order], at) if len(at) else np.zeros(0, np.int64)
-    return [key[at] for key in keys], sums
+        order = np.argsort(key)
+        key = key[order]
+        edges = _runs(key)
+        sums = np.add.reduceat(counts[order], edges[:-1]) if len(key) else np.zeros(0, np.int64)
+    key = key[edges[:-1]]
+    return words[(key >> SUCCESSOR_BITS).astype(np.int64)], key & ((np.uint64(1) << SUCCESSOR_BITS) - np.uint64(1)), sums
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that occurs with its rows, in their order."""
+    small = shard.astype(np.uint16) if shards <= 1 << 16 else shard  # sorted by digits
+    order = np.argsort(small, kind="stable")
+    edges = np.searchsorted(shard[order], np.arange(shards + 1))
+    for number in np.flatnonzero(np.diff(edges)):
+        yield int(number), order[edges[number] : edges[number + 1]]
 
 
 # ---------------------------------------------------------------- counting
@@ -159,21 +187,19 @@ def count_blocks(training: DataFrame, shards: int) -> DataFrame:
         codes = np.concatenate(texts)
         starts = np.cumsum([0] + [len(text) for text in texts[:-1]])
         before = previous(codes, starts)
+        words, counts = np.unique(codes, return_counts=True)
+        first, after, pairs = _counted_pairs(before, successor(codes))
         levels = [
-            (1, word_shard(codes, shards), [codes]),
-            (2, pair_shard(before, codes, shards), [before, codes >> (np.uint64(64) - SUCCESSOR_BITS)]),
+            (1, word_shard(words, shards), [words], counts),
+            (2, pair_shard(first, after, shards), [first, after], pairs),
         ]
-        for level, shard, keys in levels:
-            (shard, *keys), counts = _counted([shard, *keys])
-            edges = np.searchsorted(shard, np.arange(shards + 1))
-            for number in range(shards):
-                part = slice(edges[number], edges[number + 1])
-                if part.start < part.stop:
-                    data = _pack(level, [key[part] for key in keys], counts[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([number], pa.int32()), pa.array([level], pa.int32()), pa.array([data], pa.binary())],
-                        ["shard", "level", "data"],
-                    )
+        for level, shard, keys, counts in levels:
+            for number, rows in _by_shard(shard, shards):
+                data = _pack(level, [key[rows] for key in keys], counts[rows])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([level], pa.int32()), pa.array([data], pa.binary())],
+                    ["shard", "level", "data"],
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -195,14 +221,14 @@ def count_blocks(training: DataFrame, shards: int) -> DataFrame:
 
 def shard_bytes(blocks: list[tuple[int, bytes]]) -> tuple[bytes, int, int]:
     """File of a shard from its blocks; also its distinct words and their occurrences."""
-    levels = {1: ([np.zeros(0, np.uint64)], np.zeros(0, np.int64)), 2: ([np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64))}
-    for level in levels:
-        parts = [_unpack(level, data) for number, data in blocks if number == level]
-        if parts:
-            keys = [np.concatenate(column) for column in zip(*(keys for keys, _ in parts))]
-            levels[level] = _counted(keys, np.concatenate([counts for _, counts in parts]))
-    (words,), counts = levels[1]
-    (before, after), pairs = levels[2]
+    parts = {level: [_unpack(level, data) for number, data in blocks if number == level] for level in (1, 2)}
+    nothing = np.zeros(0, np.uint64)
+    words = np.concatenate([nothing, *(keys[0] for keys, _ in parts[1])])
+    words, number = np.unique(words, return_inverse=True)
+    counts = np.zeros(len(words), np.int64)
+    np.add.at(counts, number, np.concatenate([np.zeros(0, np.int64), *(own for _, own in parts[1])]))
+    before, after = (np.concatenate([nothing, *(keys[at] for keys, _ in parts[2])]) for at in (0, 1))
+    before, after, pairs = _counted_pairs(before, after, np.concatenate([np.zeros(0, np.int64), *(own for _, own in parts[2])]))
     context, at = np.unique(before, return_index=True)
     pointers = np.append(at, len(pairs)).astype(np.uint64)
     number = np.repeat(np.arange(len(context), dtype=np.uint64), np.diff(pointers.astype(np.int64)))
@@ -231,17 +257,16 @@ class Shard:
         at = self.words.find(codes)
         return np.where(at >= 0, self.counts[np.maximum(at, 0)], 0).astype(np.int64)
 
-    def pairs(self, before: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Occurrences of pairs as quantised, 0 for unknown ones."""
-        out = np.zeros(len(codes))
+    def pairs(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Occurrences of first words with successors as quantised, 0 for unknown ones."""
+        out = np.zeros(len(after))
         context = self.contexts.find(before)
         known = np.flatnonzero(context >= 0)
         if len(known):
             context = context[known]
             first = self.pointers.access(context).astype(np.int64)
-            after = self.pointers.access(context + 1).astype(np.int64)
-            successor = codes[known] >> (np.uint64(64) - SUCCESSOR_BITS)
-            at = self.successors.find(context.astype(np.uint64) << SUCCESSOR_BITS | successor, first, after)
+            stop = self.pointers.access(context + 1).astype(np.int64)
+            at = self.successors.find(context.astype(np.uint64) << SUCCESSOR_BITS | after[known], first, stop)
             hit = at >= 0
             out[known[hit]] = np.exp2(self.codes[at[hit]] / STEPS_PER_OCTAVE)
         return out
@@ -315,24 +340,20 @@ def train(training: DataFrame, steps: Steps, n_bytes: int, texts: int) -> Model:
     return Model(folder, shards, int(sums.total or 0), int(sums.distinct or 0), texts)
 
 
-def _by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(shard, kind="stable")
-    edges = np.searchsorted(shard[order], np.arange(shards + 1))
-    for number in np.flatnonzero(np.diff(edges)):
-        yield int(number), order[edges[number] : edges[number + 1]]
-
-
-def log_probabilities(model: Model, codes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def log_probabilities(model: Model, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: its count, log10 of its base probability and of the model's."""
-    every, where = np.unique(np.concatenate([codes, before]), return_inverse=True)
+    every, where = np.unique(codes, return_inverse=True)
     counts = np.zeros(len(every), np.int64)
     for number, rows in _by_shard(word_shard(every, model.shards), model.shards):
         counts[rows] = open_shard(model.folder, number).count(every[rows])
-    counts[every == START] = model.texts
-    own, context = counts[where[: len(codes)]], counts[where[len(codes) :]]
+    own = counts[where]
+    context = np.empty_like(own)
+    context[1:] = own[:-1]
+    context[starts] = model.texts
+    before, after = previous(codes, starts), successor(codes)
     pairs = np.zeros(len(codes))
-    for number, rows in _by_shard(pair_shard(before, codes, model.shards), model.shards):
-        pairs[rows] = open_shard(model.folder, number).pairs(before[rows], codes[rows])
+    for number, rows in _by_shard(pair_shard(before, after, model.shards), model.shards):
+        pairs[rows] = open_shard(model.folder, number).pairs(before[rows], after[rows])
     base = (own + 1) / (model.total + model.distinct + 1)
     return own, np.log10(base), np.log10((np.minimum(pairs, context) + MU * base) / (context + MU))
 
@@ -349,7 +370,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 sizes = np.array([len(text) for text in texts])
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
                 codes = np.concatenate(texts)
-                own, base, full = log_probabilities(model, codes, previous(codes, starts))
+                own, base, full = log_probabilities(model, codes, starts)
                 sums = [np.add.reduceat(values, starts) for values in ((own > 0).astype(np.int64), base, full)]
                 columns = [piece.column("id"), pa.array(sizes, pa.int64()), *map(pa.array, sums)]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "n_known", "base_score", "score"])
