@@ -46,6 +46,7 @@ PIECE = "id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigi
 PLAIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ſ]+")
 # Fixed value: the vocabulary's pre-token pattern, for such words.
 PLAIN_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
+PUNCTUATION = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 # Every combining mark lies here.
 MARKS = re.compile("[\u0300-\U0010ffff]")
 BYTE_SHOWN = {byte: shown for shown, byte in byte_alphabet().items()}
@@ -70,13 +71,21 @@ class WordTokenizer:
         self.library.no_padding()
         self.model = self.library.model
         self.pieces = Memo(self._piece, limit=50_000)
-        self.memo = Memo(self._word, limit=200_000)
+        self.memo = Memo(self._word, limit=300_000)
+
+    def _merge(self, shown: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_SHOWN)
-        return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+        return self._merge(shown)
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # a-z only: one pre-token
+            return self._merge(word.decode())
+        stem = word[:-1]
+        if word[-1] in PUNCTUATION and stem.isalpha() and stem.islower():
+            return self.memo[stem] + self.pieces[word[-1:].decode()]
         text = word.decode()
         if PLAIN_WORD.fullmatch(text) and "<|" not in text and text == text.lower():
             return b"".join(map(self.pieces.__getitem__, PLAIN_PIECE.findall(text)))
@@ -115,8 +124,8 @@ def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
         for batch in batches:
-            for part in range(0, batch.num_rows, 1000):
-                piece = batch.slice(part, 1000)
+            for part in range(0, batch.num_rows, 250):
+                piece = batch.slice(part, 250)
                 words = [tokenizer.split(cell.as_py()) for cell in piece.column("text")]
                 ids = [tokenizer.encode(own) + end for own in words]
                 whole = [len(own) // step * step for own in ids]

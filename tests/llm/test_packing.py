@@ -57,6 +57,7 @@ def test_ids_equal_the_library(library):
     texts = ["".join(chr(draw.randrange(*draw.choice(ranges))) for _ in range(60)) for _ in range(3000)]
     texts += ["".join(chr(draw.randrange(0x21, 0x180)) for _ in range(12)) for _ in range(5000)]
     texts += ["T\u0308 t\u0308 X\x1cy 'S'LL <|Endoftext|> <|endoftext|>A İſKÅ"]
+    texts += [f"{word}{chr(sign)} {word.upper()}{chr(sign)}{word}" for sign in range(0x21, 0x7F) for word in ("abc", "s", "re", "")]
     for text in texts:
         wanted = array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
         assert tokenizer.encode(tokenizer.split(text)) == wanted, repr(text)
