@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import exact_dedup, language_id, near_dedup, packing, secrets
+from corpusgauge.llm import bound_batches, exact_dedup, language_id, near_dedup, packing, secrets
 from corpusgauge.shipping import ship
 
 RAW_BITS = 8.0
@@ -29,6 +29,11 @@ RAW_BITS = 8.0
 BROADCAST_ROWS = 1_000_000
 
 
+def _ready(spark: SparkSession) -> None:
+    ship(spark)
+    bound_batches(spark)
+
+
 def _numbered(docs: DataFrame, steps: Steps) -> tuple[DataFrame, str]:
     """The documents as a table with a row number, and that column's name."""
     name = "row_number"
@@ -49,7 +54,7 @@ def _identity(number: str) -> F.Column:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts in no learned language; learned from the labelled documents."""
-    ship(spark)
+    _ready(spark)
     labelled = docs.select(F.col("doc_id").alias("id"), "text", "lang").dropna(subset=["text", "lang"])
     model = language_id.train(labelled)
     if model is None:  # no language is known: only texts without letters can be told
@@ -63,7 +68,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one of each set of equal texts."""
-    ship(spark)
+    _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
     marked = exact_dedup.deduplicate_once(rows.select(_identity(number).alias("id"), "text"), "id", "text")
@@ -73,7 +78,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one of each group of near duplicates."""
-    ship(spark)
+    _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
     grouped = near_dedup.group(rows.select(_identity(number).alias("id"), "text"), 5, 80, "id", "text")
@@ -83,7 +88,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mark."""
-    ship(spark)
+    _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
     scanned = secrets.scan(rows.select(F.col(number).alias("id"), "text"), "id", "text")
@@ -102,7 +107,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens."""
-    ship(spark)
+    _ready(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -32,7 +32,7 @@ from corpusgauge.llm.bytebpe import (
     cut_at_spaces,
     pre_tokens,
     shadow,
-    vocabulary,
+    worker_state,
 )
 
 #: Characters after which a pre-token that is still open is passed on piece by piece.
@@ -290,14 +290,9 @@ def encode_text(encoder: StreamingEncoder, vocab: Vocabulary, text: str) -> arra
     return ids
 
 
-_encoders: dict[str, StreamingEncoder] = {}
-
-
 def encoder_for(path: str) -> StreamingEncoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = StreamingEncoder(vocabulary(path))
-    return _encoders[path]
+    return worker_state(f"streaming encoder {path}", lambda: StreamingEncoder(Vocabulary(path)))
 
 
 def encode_documents(
@@ -310,7 +305,8 @@ def encode_documents(
     schema += ", ids binary, decoded string" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, encoder = vocabulary(path), encoder_for(path)
+        encoder = encoder_for(path)
+        vocab = encoder.transducer.vocab
         for batch in batches:
             out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
             for cell in batch.column("text"):

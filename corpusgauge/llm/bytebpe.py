@@ -125,6 +125,22 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+_held: tuple[str, object] = ("", None)
+
+
+def worker_state(owner: str, make: Callable[[], object] = lambda: None):
+    """What an operator keeps in a Python worker between tasks.
+
+    Only one owner's state is held: a worker that serves several operators in turn does not add
+    up their vocabularies and memos.
+    """
+    global _held
+    if _held[0] != owner:
+        _held = ("", None)
+        _held = (owner, make())
+    return _held[1]
+
+
 class Memo(dict):
     """Results of ``compute`` for short keys; at most ``2 * limit`` of them are held.
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgauge.llm.bytebpe import worker_state
+
 UNKNOWN = "und"
 BLOCK = 1 << 18
 
@@ -84,6 +86,7 @@ def count_contexts(sample: DataFrame, order: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language")  # lets go of what other operators keep
         for batch in batches:
             grams: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -203,6 +206,7 @@ def predict(docs: DataFrame, model: PpmModel | None, text_col: str = "text") ->
     def judge(texts):
         import pandas as pd
 
+        worker_state("language")
         model = held.value
         names, scores, rates = [], [], []
         for text in texts:

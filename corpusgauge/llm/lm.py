@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm.bytebpe import Memo
+from corpusgauge.llm.bytebpe import Memo, worker_state
 from corpusgauge.llm.elias_fano import EliasFano, encode
 from corpusgauge.llm.language_id import held_out
 
@@ -62,9 +62,8 @@ def _hash(word: bytes) -> int:
 START, END = np.uint64(_hash(b" start")), np.uint64(_hash(b" end"))
 
 
-@functools.lru_cache(maxsize=1)
 def _words() -> Memo:
-    return Memo(_hash)
+    return worker_state("language model", lambda: Memo(_hash))
 
 
 def tokens(text: str) -> np.ndarray:

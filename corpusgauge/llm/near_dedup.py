@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm.bytebpe import Memo
+from corpusgauge.llm.bytebpe import Memo, worker_state
 from corpusgauge.llm.graph import components
 from corpusgauge.operators.keyed import lookup_join
 
@@ -74,9 +74,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=1)
 def _word_hashes() -> Memo:
-    return Memo(lambda word: int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little"))
+    def hashed(word: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+    return worker_state("shingles", lambda: Memo(hashed, limit=100_000))
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:

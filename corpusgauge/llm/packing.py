@@ -16,7 +16,6 @@ packed as rows of their own; an empty table gives no pieces. Other columns are n
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import zlib
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm.bytebpe import Memo, byte_alphabet
+from corpusgauge.llm.bytebpe import Memo, byte_alphabet, worker_state
 from corpusgauge.operators.keyed import number_rows
 
 #: Cut tails broadcast at once (16 bytes each); more are joined by a shuffle.
@@ -71,7 +70,7 @@ class WordTokenizer:
         self.library.no_padding()
         self.model = self.library.model
         self.pieces = Memo(self._piece, limit=50_000)
-        self.memo = Memo(self._word, limit=300_000)
+        self.memo = Memo(self._word, limit=200_000)
 
     def _merge(self, shown: str) -> bytes:
         return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
@@ -104,9 +103,9 @@ class WordTokenizer:
         return b"".join(map(self.memo.__getitem__, words))
 
 
-@functools.lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    """The worker's tokenizer for a vocabulary file."""
+    return worker_state(f"word tokenizer {path}", lambda: WordTokenizer(path))
 
 
 def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str, text_col: str) -> DataFrame:

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bpe_stream, exact_dedup, fingerprints, language_id, lm, near_dedup, packing, secrets, token_counts, warc
+from corpusgauge.llm import bound_batches, bpe_stream, exact_dedup, fingerprints, language_id, lm, near_dedup, packing, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

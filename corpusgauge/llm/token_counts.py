@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusgauge.llm.bytebpe import Memo, Vocabulary, cut_at_spaces, pre_tokens, vocabulary
+from corpusgauge.llm.bytebpe import Memo, Vocabulary, cut_at_spaces, pre_tokens, worker_state
 
 
 class TokenCounter:
@@ -47,14 +47,9 @@ class TokenCounter:
         return total
 
 
-_counters: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
     """The worker's counter for a vocabulary file."""
-    if path not in _counters:
-        _counters[path] = TokenCounter(vocabulary(path))
-    return _counters[path]
+    return worker_state(f"token counts {path}", lambda: TokenCounter(Vocabulary(path)))
 
 
 def count_tokens(
