@@ -124,6 +124,7 @@ def sign(docs: DataFrame, words: int) -> DataFrame:
                 signatures.append(signature(shingles))
             columns = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "set_key", "sig"])
+        worker_state("none")  # a worker that waits for its next task holds no memo
 
     return docs.mapInArrow(run, f"id {kind}, n bigint, set_key binary, sig binary")
 
@@ -180,6 +181,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     nodes.append(node), sizes.append(len(shingles)), sets.append(shingles.tobytes())
             columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles"])
+        worker_state("none")
 
     found = docs.join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("node", "set_key", "text")
     return found.mapInArrow(run, "node bigint, n bigint, shingles binary")

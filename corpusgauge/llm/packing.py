@@ -139,6 +139,7 @@ def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str,
                     pa.array(ids, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "id", "doc_tokens", "full_crcs", "tail_crc", "ids"])
+        worker_state("none")  # a worker that waits for its next task holds no memo
 
     return rows.mapInArrow(run, schema)
 
