@@ -1,16 +1,18 @@
 """Secret scans in DataFrame operations: three patterns and a Markov likelihood ratio.
 
-Patterns find labelled secrets. They and ordinary identifiers (long runs of letters, digits and
-``+/_=-`` that no pattern covers) are the labelled samples of two character Markov models; an
-identifier whose text is far likelier under the model of random strings is reported as well
-(kind ``markov``). Positions are code points, ends exclusive.
+Patterns find labelled secrets. Of two character Markov models, one is of random strings: it is
+fitted to these secrets, mixed with a uniform one. The other is of ordinary text, fitted to words:
+runs of letters, digits and ``+/_=-`` too short to be judged, outside the labelled secrets. A longer
+run that no pattern covers is judged, never a sample, so no secret vouches for itself; if it is far
+likelier under the model of random strings, it is reported as well (kind ``markov``). In both
+samples each distinct string counts once. Positions are code points, ends exclusive.
 
 A match's place follows from the gaps and matches before it: the pattern is anchored at the end of
 the previous match, gaps and matches are pulled out as arrays, and a running sum gives the starts.
 
 Defined results: null text counts as empty and has no spans; every input row gives one row, also
-when ids are null or repeat; an empty table gives no rows; without both kinds of samples the models
-are uniform and report nothing. Other columns are never read.
+when ids are null or repeat; an empty table gives no rows; without labelled secrets the random model is
+uniform; without ordinary words the models report nothing. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ PATTERNS = {
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"([A-Za-z0-9+/_=-]{%d,})"
+#: Group 2: a whole run of at most so many characters, none of it in an ``assign`` match.
+WORD = rf"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]*?{PATTERNS['assign']}|([A-Za-z0-9+/_=-]{{2,%d}})(?![A-Za-z0-9+/_=-]))"
+#: Shares: of the uniform part in either model, and of the capitals that every ordinary pair also counts as.
+UNIFORM = {"random": 0.75, "ordinary": 1 / 64}
+CAPITALS = 1 / 16
 FOUND = "array<struct<gap:int,size:int,secret:string>>"
 
 
@@ -72,32 +79,50 @@ def _pair_counts(samples: DataFrame, column: str) -> DataFrame:
 def likelihood_ratios(random: dict[str, int], ordinary: dict[str, int], weight: float = 256.0) -> list[float]:
     """log2 p(b | a) under the random model minus under the ordinary one.
 
-    p(b | a) = (n(ab) + weight * p(b)) / (n(a) + weight), where p(b) is add-one smoothed: after a
-    character that a sample has rarely, the model falls back on how common the next one is, so a
-    lone random string among the ordinary ones does not vouch for itself. Entry
-    ``len(ALPHABET) * index(a) + index(b)``.
+    p(b | a) = (n(ab) + weight * p(b)) / (n(a) + weight), where p(b) is add-one smoothed, mixed with
+    a uniform model: a secret of another alphabet than the labelled ones stays likely, and a pair
+    that ordinary words lack is no proof by itself. Words in capitals are ordinary as well. Entry
+    ``len(ALPHABET) * index(a) + index(b)``; all are 0 without ordinary pairs.
     """
+    if not ordinary:
+        return [0.0] * len(ALPHABET) ** 2
+    spelled = dict(ordinary)
+    for pair, n in ordinary.items():
+        if pair.upper() != pair:
+            spelled[pair.upper()] = spelled.get(pair.upper(), 0) + CAPITALS * n
     tables = []
-    for counts in (random, ordinary):
+    for counts, even in ((random, UNIFORM["random"]), (spelled, UNIFORM["ordinary"])):
         after = {b: sum(counts.get(a + b, 0) for a in ALPHABET) for b in ALPHABET}
         total = sum(after.values()) + len(ALPHABET)
         table = []
         for a in ALPHABET:
             row = [counts.get(a + b, 0) + weight * (after[b] + 1) / total for b in ALPHABET]
-            table += [math.log2(n / sum(row)) for n in row]
+            table += [math.log2((1 - even) * n / sum(row) + even / len(ALPHABET)) for n in row]
         tables.append(table)
     return [one - other for one, other in zip(*tables)]
 
 
 def score(text: Column, ratios: list[float]) -> Column:
-    """Sum of the ratios over the adjacent characters of ``text`` (all in the alphabet)."""
+    """Sum of the ratios over the distinct adjacent pairs of ``text`` (all in the alphabet).
+
+    A pair counts once, so a ruled line or another repetition is no evidence.
+    """
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     place = lambda pair, at: F.instr(F.lit(ALPHABET), F.substr(pair, F.lit(at), F.lit(1))) - 1
     return F.aggregate(
-        pairs_of(text), F.lit(0.0), lambda total, pair: total + F.get(table, place(pair, 1) * len(ALPHABET) + place(pair, 2))
+        F.array_distinct(pairs_of(text)),
+        F.lit(0.0),
+        lambda total, pair: total + F.get(table, place(pair, 1) * len(ALPHABET) + place(pair, 2)),
     )
 
 
+def ordinary_words(text: Column, least_candidate: int) -> Column:
+    """Distinct runs shorter than a candidate that are not part of a labelled secret."""
+    words = F.regexp_extract_all(text, F.lit(WORD % max(2, least_candidate - 1)), F.lit(2))
+    labelled = f"{PATTERNS['access']}|{PATTERNS['hex']}"
+    return F.filter(F.array_distinct(words), lambda word: (word != "") & ~word.rlike(labelled))
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -116,10 +141,11 @@ def scan(
             found(text, CANDIDATE % least_candidate).alias("candidates"),
         )
     )
-    return _scan_rows(rows, steps, bits_per_character)
+    words = docs.select(F.explode(ordinary_words(text, least_candidate)).alias("secret"))
+    return _scan_rows(rows, words, steps, bits_per_character)
 
 
-def _scan_rows(rows: DataFrame, steps: Steps, bits_per_character: float) -> DataFrame:
+def _scan_rows(rows: DataFrame, words: DataFrame, steps: Steps, bits_per_character: float) -> DataFrame:
     base = None
     for number, kind in enumerate(PATTERNS, 1):
         one = _placed(rows, kind).filter(F.length("secret") >= LEAST[kind]).withColumn("kind", F.lit(number))
@@ -135,7 +161,7 @@ def _scan_rows(rows: DataFrame, steps: Steps, bits_per_character: float) -> Data
     # Both count tables are bounded by the square of the alphabet.
     counts = [
         {pair: n for pair, n in _pair_counts(sample, "secret").collect() if pair[0] in ALPHABET and pair[1] in ALPHABET}
-        for sample in (base, free)
+        for sample in (base.select("secret").distinct(), words.distinct())
     ]
     ratios = likelihood_ratios(*counts)
     added = free.filter(score(F.col("secret"), ratios) > bits_per_character * F.length("secret"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusgauge.llm import secrets
@@ -72,6 +73,42 @@ def test_markov_adds_random_strings_only(spark):
     assert not any("markov" in spans[at] for at in range(400))
 
 
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def prose(draw, labelled):
+    """200 texts of words and identifiers; half of them with a labelled secret over the given alphabet."""
+    parts = ["get", "user", "name", "from", "table", "list", "of", "index", "value", "Value", "Index", "the", "secretary", "and"]
+    for at in range(200):
+        words = [("_" if draw.random() < 0.3 else " ").join(draw.choices(parts, k=draw.randint(1, 7))) for _ in range(20)]
+        yield at, " ".join(words) + (f' token="{"".join(draw.choices(labelled, k=30))}"' if at % 2 else "")
+
+
+def found_markov(spark, rows):
+    scanned = secrets.report(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    return {row.doc_id for row in scanned.collect() if "markov" in row.spans}
+
+
+@pytest.mark.parametrize("labelled", [BASE62, "0123456789abcdef"])
+@pytest.mark.parametrize("keys, copies", [(1, 1), (1, 3), (1, 100), (1, 10_000), (2_000, 1)])
+def test_unlabelled_secrets_do_not_vouch_for_themselves(spark, labelled, keys, copies):
+    draw = random.Random(6)
+    rows = list(prose(draw, labelled))
+    ruled = ["=" * 60, "-=" * 30, "+----" * 12, "MAX_USER_NAME_INDEX_LIST"]
+    rows += [(500 + at, f"see {text} there") for at, text in enumerate(ruled)]
+    planted = ["".join(draw.choices(BASE62, k=40)) for _ in range(keys)]
+    rows += [(1000 + at, f"see {key} there") for at, key in enumerate(planted * copies)]
+    found = found_markov(spark, rows)
+    assert not any(at < 1000 for at in found)
+    assert len(found) >= 0.98 * keys * copies
+
+
+def test_words_of_labelled_secrets_are_no_samples(spark):
+    text = "my_api_key: 'Zq8.Xk29fjsl' x_token=Xk29fjslA93k and AKIA12345678 0123456789abcdef0 " + "w" * 20 + " get_user a"
+    got = spark.createDataFrame([(text,)], "text string").select(secrets.ordinary_words(F.col("text"), 20)).first()[0]
+    assert got == ["and", "get_user"]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é token=abcdefghijklmnop x 0123456789abcdef!"), (2, "clean"), (3, None)], "doc_id long, text string")
     scanned = secrets.scan(docs).join(docs.withColumnRenamed("doc_id", "id"), "id")
