@@ -67,3 +67,35 @@ print("ROWS", spec.queries()["validated_rows"](spark, "/root/testdata/sf0.001").
     environment = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300)
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+def test_registered_queries_ask_for_the_whole_job(monkeypatch):
+    from types import SimpleNamespace
+
+    from corpusgauge.plans import learning
+
+    asked = {}
+    monkeypatch.setattr(learning, "folded", lambda spark, sf_dir, folds: folds)
+    monkeypatch.setattr(learning, "materialize", lambda rows: rows)
+    questions = SimpleNamespace(filter=lambda condition: condition)
+    monkeypatch.setattr(learning.views, "questions", lambda spark, sf_dir: questions)
+
+    def search(folded, grid, labels, folds):
+        asked["search"] = (folded, folds, len(set(grid)), {s.max_iter for s in grid})
+        return SimpleNamespace(scores=None, recall=None)
+
+    def curve(folded, setting, labels, folds, fractions=(0.2, 0.4, 0.6, 0.8, 1.0)):
+        asked["curve"] = (folded, folds, fractions)
+
+    monkeypatch.setattr(learning.models, "grouped_search", search)
+    monkeypatch.setattr(learning.models, "learning_curve", curve)
+    monkeypatch.setattr(learning.models, "source_holdout", lambda rows, setting, labels: asked.update(holdout=rows))
+    for query in (learning.grid_search, learning.out_of_fold_recall):
+        asked.pop("search", None)
+        query(None, "")
+        assert asked["search"] == (5, 5, 72, {5000})
+    learning.learning_curve(None, "")
+    assert asked["curve"] == (5, 5, (0.2, 0.4, 0.6, 0.8, 1.0))
+    learning.source_holdout(None, "")
+    assert asked["holdout"] == "split_name = 'development'"
+    assert learning.LOGISTIC.max_iter == learning.MACHINE.max_iter == 5000
