@@ -5,7 +5,8 @@ fitted to these secrets, mixed with a uniform one. The other is of ordinary text
 runs of letters, digits and ``+/_=-`` too short to be judged, outside the labelled secrets. A longer
 run that no pattern covers is judged, never a sample, so no secret vouches for itself; if it is far
 likelier under the model of random strings, it is reported as well (kind ``markov``). In both
-samples each distinct string counts once. Positions are code points, ends exclusive.
+samples each distinct string counts once. Of a run that a pattern covers in part, each piece that
+sticks out is judged. Positions are code points, ends exclusive.
 
 A match's place follows from the gaps and matches before it: the pattern is anchored at the end of
 the previous match, gaps and matches are pulled out as arrays, and a running sum gives the starts.
@@ -40,6 +41,8 @@ WORD = rf"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_=-]*?{PATTERNS['assign']}|([A-Za-
 #: Shares: of the uniform part in either model, and of the capitals that every ordinary pair also counts as.
 UNIFORM = {"random": 0.75, "ordinary": 1 / 64}
 CAPITALS = 1 / 16
+#: A piece shorter than this needs the score of one this long.
+LEAST_PIECE = 12
 FOUND = "array<struct<gap:int,size:int,secret:string>>"
 
 
@@ -145,26 +148,56 @@ def scan(
     return _scan_rows(rows, words, steps, bits_per_character)
 
 
+def _outside(candidates: DataFrame, base: DataFrame) -> DataFrame:
+    """(row, start, end, secret) of the parts of candidates outside all base spans, in one sweep per row.
+
+    Between two neighbouring ends of spans nothing changes: a piece is inside a candidate where one
+    is open, and outside the base spans where none of them is open.
+    """
+    run = F.struct("start", "secret")
+    none = F.lit(None).cast("struct<start:bigint,secret:string>")
+
+    def ends(spans: DataFrame, opened: Column, candidate: int) -> DataFrame:
+        edges = F.array(
+            F.struct(F.col("start").alias("at"), F.lit(1).alias("step"), opened.alias("run")),
+            F.struct(F.col("end").alias("at"), F.lit(-1).alias("step"), none.alias("run")),
+        )
+        return spans.select("row", F.inline(edges)).select(
+            "row", "at", "run", (F.col("step") * candidate).alias("inside"), (F.col("step") * (1 - candidate)).alias("covered")
+        )
+
+    events = ends(candidates, run, 1).unionByName(ends(base, none, 0))
+    # At one place, ends come before starts: the open candidate is the last one that started.
+    order = Window.partitionBy("row").orderBy("at", "inside")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = events.select(
+        "row",
+        F.col("at").alias("start"),
+        F.lead("at").over(order).alias("end"),
+        F.sum("inside").over(upto).alias("inside"),
+        F.sum("covered").over(upto).alias("covered"),
+        F.last("run", ignorenulls=True).over(upto).alias("run"),
+    ).filter("inside = 1 AND covered = 0 AND end > start")
+    place = (F.col("start") - F.col("run.start") + 1).cast("int")
+    text = F.substr(F.col("run.secret"), place, (F.col("end") - F.col("start")).cast("int"))
+    return pieces.select("row", "start", "end", text.alias("secret"))
+
+
 def _scan_rows(rows: DataFrame, words: DataFrame, steps: Steps, bits_per_character: float) -> DataFrame:
     base = None
     for number, kind in enumerate(PATTERNS, 1):
         one = _placed(rows, kind).filter(F.length("secret") >= LEAST[kind]).withColumn("kind", F.lit(number))
         base = one if base is None else base.unionByName(one)
     base = steps.keep(base)
-    span = F.struct("start", "end", "kind")
-    taken = base.groupBy("row").agg(F.collect_list(span).alias("taken"))
-    overlaps = F.exists("taken", lambda t: (t["start"] < F.col("end")) & (F.col("start") < t["end"]))
-    # Identifiers outside every labelled secret.
-    free = steps.keep(
-        _placed(rows, "candidates").join(taken, "row", "left").filter(F.coalesce(~overlaps, F.lit(True))).drop("taken")
-    )
+    free = steps.keep(_outside(_placed(rows, "candidates"), base))
     # Both count tables are bounded by the square of the alphabet.
     counts = [
         {pair: n for pair, n in _pair_counts(sample, "secret").collect() if pair[0] in ALPHABET and pair[1] in ALPHABET}
         for sample in (base.select("secret").distinct(), words.distinct())
     ]
     ratios = likelihood_ratios(*counts)
-    added = free.filter(score(F.col("secret"), ratios) > bits_per_character * F.length("secret"))
+    least = bits_per_character * F.greatest(F.length("secret"), F.lit(LEAST_PIECE))
+    added = free.filter(score(F.col("secret"), ratios) > least)
     every = base.drop("secret").unionByName(added.drop("secret").withColumn("kind", F.lit(KINDS.index("markov") + 1)))
     spans = every.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     return rows.select("row", "id").join(spans, "row", "left").select(
