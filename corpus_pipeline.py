@@ -25,7 +25,7 @@ from corpusgauge.llm import bound_batches, exact_dedup, language_id, near_dedup,
 from corpusgauge.shipping import ship
 
 RAW_BITS = 8.0
-#: Row numbers broadcast at once (about 32 MB as a hash table); more are joined by a shuffle.
+#: Row numbers, and entries of their arrays, broadcast at once (about 32 MB as a hash table); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -42,9 +42,10 @@ def _numbered(docs: DataFrame, steps: Steps) -> tuple[DataFrame, str]:
     return steps.keep(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
-def _bounded(small: DataFrame) -> DataFrame:
-    """Broadcast a written table of few rows."""
-    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+def _bounded(small: DataFrame, array: str | None = None) -> DataFrame:
+    """Broadcast a written table of few rows and few entries of its array column."""
+    entries = F.lit(1) if array is None else F.lit(1) + F.size(array)
+    return F.broadcast(small) if (small.agg(F.sum(entries)).first()[0] or 0) <= BROADCAST_ROWS else small
 
 
 def _identity(number: str) -> F.Column:
@@ -94,7 +95,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scanned = secrets.scan(rows.select(F.col(number).alias("id"), "text"), "id", "text")
     hits = steps.keep(scanned.filter(F.size("spans") > 0).select(F.col("id").alias(number), F.col("spans").alias("found")))
     whole = rows.select(number, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
-    joined = whole.join(_bounded(hits), number, "left")
+    joined = whole.join(_bounded(hits, "found"), number, "left")
     text = F.when(F.col("found").isNull(), F.col("doc.text")).otherwise(secrets.redact(F.col("doc.text"), F.col("found")))
     joined = joined.withColumn("shown", text)
     columns = [F.col(f"doc.`{name}`") for name in docs.columns]

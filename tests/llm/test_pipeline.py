@@ -65,3 +65,17 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_hits_of_many_spans_are_joined_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(pipeline, "BROADCAST_ROWS", 20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = "a 0123456789abcdef b"
+        for copies, hint in ((1, True), (30, False)):
+            docs = spark.createDataFrame([(1, text * copies, "en"), (2, "the cat", "en")], "doc_id long, text string, lang string")
+            clean = pipeline.redact(spark, docs, "")
+            assert ("BroadcastHashJoin" in clean._jdf.queryExecution().executedPlan().toString()) == hint
+            assert rows_of(clean) == [(1, "a [SECRET] b" * copies, "en"), (2, "the cat", "en")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
