@@ -9,7 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
-from corpusgauge.llm import bound_batches, bpe_stream, exact_dedup, fingerprints, language_id, lm, near_dedup, packing, secrets, token_counts, warc
+from corpusgauge.llm import (
+    bound_batches,
+    bpe_stream,
+    exact_dedup,
+    fim,
+    fingerprints,
+    language_id,
+    lm,
+    near_dedup,
+    packing,
+    secrets,
+    token_counts,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +159,35 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under a model of the training documents."""
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), k AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d
+), c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM k
+), p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS a, array_to_string(u[lo + 1:hi], '') AS b, array_to_string(u[hi + 1:n], '') AS e FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || e || '<P>' || a || '<M>' || b
+              ELSE '<P>' || a || '<S>' || e || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two tokens and put in another order, and the text restored from that."""
+    return fim.report(fim.fill_in_middle(table(spark, sf_dir, "documents")))
