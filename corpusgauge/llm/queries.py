@@ -21,6 +21,7 @@ from corpusgauge.llm import (
     packing,
     secrets,
     token_counts,
+    vector_codes,
     warc,
 )
 
@@ -191,3 +192,45 @@ FROM p
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two tokens and put in another order, and the text restored from that."""
     return fim.report(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def _op12_sql() -> str:
+    """Four rounds and the last assignment, one table each."""
+    distance = "list_dot_product(q, q) - 2 * list_dot_product(q, b) + list_dot_product(b, b)"
+    text = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS q FROM kept, (SELECT unnest(range(4)) AS p)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, q AS b FROM parts WHERE r <= 256)"""
+    for at in range(5):
+        text += f""", nearest{at} AS MATERIALIZED (
+  SELECT r, p, any_value(q) AS q, arg_min(e, d * 256 + e) AS e, min(d) AS d
+  FROM (SELECT r, p, q, e, {distance} AS d FROM parts JOIN book{at} USING (p)) GROUP BY r, p
+)"""
+        if at < 4:
+            text += f""", mean{at} AS (
+  SELECT p, e, list(m ORDER BY i) AS b FROM (
+    SELECT p, e, i, floor(sum(x) / count(*)) AS m
+    FROM (SELECT p, e, unnest(q) AS x, unnest(range(len(q))) AS i FROM nearest{at}) GROUP BY p, e, i
+  ) GROUP BY p, e
+), book{at + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.b, o.b) AS b FROM book{at} o LEFT JOIN mean{at} n USING (p, e)
+)"""
+    return text + """, coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(e AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM nearest4 GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(b, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, e))
+    AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
+@query("op12_vector_codes", _op12_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings coded in four parts of 256 entries, after four rounds of fitting."""
+    steps = Steps(spark)
+    return vector_codes.report(vector_codes.compress(table(spark, sf_dir, "embeddings"), steps=steps), steps)
