@@ -19,6 +19,7 @@ from corpusgauge.llm import (
     lm,
     near_dedup,
     packing,
+    pieces,
     secrets,
     token_counts,
     vector_codes,
@@ -234,3 +235,9 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings coded in four parts of 256 entries, after four rounds of fitting."""
     steps = Steps(spark)
     return vector_codes.report(vector_codes.compress(table(spark, sf_dir, "embeddings"), steps=steps), steps)
+
+
+@query("op11_piece_spans")
+def op11_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces with their byte spans, and decoded again."""
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
