@@ -13,9 +13,6 @@ from corpusgauge.durable import materialize
 from corpusgauge.functions.text import token_ngrams, tokens
 from corpusgauge.operators.keyed import lookup_join, number_rows
 
-# Spark ML keeps one dense weight per feature and label on the driver.
-MAX_FEATURES = 20_000_000
-
 
 def word_counts(
     df: DataFrame, id: str = "question_id", text: str = "question_text", low: int = 1, high: int = 1
@@ -106,7 +103,7 @@ def fit_tfidf(
     high: int = 1,
     id: str = "question_id",
     text: str = "question_text",
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = None,
     counts: DataFrame | None = None,
 ) -> TfidfModel:
     """Vocabulary of features found in at least ``min_df`` rows, numbered in feature order."""
@@ -120,6 +117,6 @@ def fit_tfidf(
         number_rows(frequencies, ["feature"], "index").withColumn("index", F.col("index") - 1)
     )
     size = numbered.count()
-    if size > max_features:
-        raise ValueError(f"{size} features exceed {max_features}: raise min_df, or max_features on a larger driver")
+    if max_features is not None and size > max_features:
+        raise ValueError(f"{size} features exceed {max_features}: raise min_df or max_features")
     return TfidfModel(numbered, size, df.count(), low, high)

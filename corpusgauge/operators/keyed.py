@@ -19,17 +19,19 @@ def lookup_join(
     key: str,
     weight: str,
     limit: int = BROADCAST_ROWS,
+    row_bytes: int = 16,
 ) -> DataFrame:
     """Inner join of ``facts`` with a keyed table whose ``weight`` is the fact rows per key.
 
-    A dimension of at most ``limit`` rows, whose keys take at most BROADCAST_BYTES, is broadcast.
+    A dimension of at most ``limit`` rows, which take at most BROADCAST_BYTES by their keys and the
+    ``row_bytes`` that a row's other columns have at most, is broadcast.
     A larger one is cut at c = ceil(sum(weight) / limit): at most ``limit`` keys can weigh c or
     more, so the heavy keys are always safe to broadcast, and no key left for the shuffle holds
     more than c fact rows. Long keys lower the limit, so that the longest would fit that often.
     ``dimension`` must be cheap to read twice (materialized).
     """
     kind = dict(dimension.dtypes)[key]
-    length = F.octet_length(key) if kind in ("string", "binary") else F.lit(8)
+    length = row_bytes + (F.octet_length(key) if kind in ("string", "binary") else F.lit(8))
     size, total, whole, longest = dimension.agg(
         F.count(F.lit(1)), F.sum(weight), F.sum(length.cast("bigint")), F.max(length)
     ).first()
