@@ -27,6 +27,8 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 #: The map is never asked for more source strings than this at one place.
 MOST_MATCHES = 32
+#: Characters of a unit up to which a list of scores beats a heap, and the score of what does not join.
+SHORT, NONE = 48, float("-inf")
 _MARK_BYTES = len(MARK.encode())
 
 
@@ -148,6 +152,7 @@ class PieceModel:
         reserved = {piece.piece: at for at, piece in enumerate(proto.pieces) if piece.type != NORMAL}
         self.bytes = [reserved[f"<0x{byte:02X}>"] for byte in range(256)] if trainer.byte_fallback else None
         self.unknown = next(at for at, piece in enumerate(proto.pieces) if piece.type == UNKNOWN)
+        self.decimals = [str(at) for at in range(len(proto.pieces))]
         self.shown = [self._shown(piece, trainer) for piece in proto.pieces]
         self.is_byte = np.array([piece.type == BYTE for piece in proto.pieces])
         self.control = {at for at, piece in enumerate(proto.pieces) if piece.type == CONTROL}
@@ -156,7 +161,7 @@ class PieceModel:
         whole = any(inner.search(piece) for piece in self.ids)
         mark = re.escape(self.mark)
         self._units = re.compile("(?s).+" if whole else f"{mark}+[^{mark}]*|[^{mark}]+")
-        self._memo = Memo(self._unit)
+        self._memo = Memo(self._unit, limit=250_000)
 
     @staticmethod
     def _shown(piece, trainer) -> bytes:
@@ -258,8 +263,29 @@ class PieceModel:
 
     def merge(self, unit: str) -> list[str]:
         """Pieces of a unit: the best-scored neighbours are joined, leftmost first."""
-        if unit in self.ids and len(unit) == 1:
-            return [unit]
+        return self._merge_short(unit) if len(unit) <= SHORT else self._merge_long(unit)
+
+    def _merge_short(self, unit: str) -> list[str]:
+        """The neighbours' scores side by side in a list: the best is looked for anew each time."""
+        score = self.scores.get
+        pieces = list(unit)
+        ranks = list(map(score, map(add, pieces, unit[1:]), repeat(NONE)))
+        while ranks:
+            best = max(ranks)
+            if best == NONE:
+                break
+            at = ranks.index(best)
+            joined = pieces[at] + pieces[at + 1]
+            pieces[at : at + 2] = (joined,)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = score(pieces[at - 1] + joined, NONE)
+            if at < len(ranks):
+                ranks[at] = score(joined + pieces[at + 1], NONE)
+        return pieces
+
+    def _merge_long(self, unit: str) -> list[str]:
+        """The neighbours' scores in a heap."""
         scores = self.scores
         pieces: list[str | None] = list(unit)
         size = len(pieces)
@@ -290,10 +316,21 @@ class PieceModel:
                     heapq.heappush(heap, (-score, leads, left, len(pieces[leads]) + length))
         return [piece for piece in pieces if piece is not None]
 
-    def _unit(self, unit: str) -> tuple[bytes, bytes, str]:
-        """Ids, steps in bytes of the normalised text, and the ids in decimals."""
+    def _unit(self, unit: str) -> bytes:
+        """Id and step in bytes of the normalised text, in turn, as unsigned 32-bit integers."""
+        pieces, known = self.merge(unit), self.ids
+        try:
+            ids = array("I", [known[piece] for piece in pieces])
+            steps = array("I", map(len, map(str.encode, pieces)))
+        except KeyError:
+            ids, steps = self._with_unknown(pieces)
+        both = array("I", bytes(8 * len(ids)))
+        both[0::2], both[1::2] = ids, steps
+        return both.tobytes()
+
+    def _with_unknown(self, pieces: list[str]) -> tuple[array, array]:
         ids, steps = array("I"), array("I")
-        for piece in self.merge(unit):
+        for piece in pieces:
             number = self.ids.get(piece)
             size = len(piece.encode())
             if number is not None:
@@ -306,27 +343,24 @@ class PieceModel:
             else:
                 ids.append(self.unknown)
                 steps.append(size)
-        return ids.tobytes(), steps.tobytes(), ",".join(map(str, ids))
+        return ids, steps
 
     def encode(self, text: str) -> Encoding:
         shown, alignment = self.normalise(text)
-        found = [self._memo[unit] for unit in self._units.findall(shown)]
-        ids = array("I", b"".join([unit[0] for unit in found]))
-        ends = np.cumsum(np.frombuffer(b"".join([unit[1] for unit in found]), np.uint32), dtype=np.int64)
-        decimals = ",".join([unit[2] for unit in found])
-        if self.bytes is None and ids:
-            ids, ends, decimals = self._joined_unknown(np.array(ids), ends)
+        # The memo holds bytes alone, which the garbage collector does not walk through.
+        found = b"".join(map(self._memo.__getitem__, self._units.findall(shown)))
+        both = np.frombuffer(found, np.uint32).reshape(-1, 2)
+        ids, ends = both[:, 0], np.cumsum(both[:, 1], dtype=np.int64)
+        if self.bytes is None and len(ids):
+            # Runs of unknown pieces become one.
+            stays = np.append((ids[:-1] != self.unknown) | (ids[1:] != self.unknown), True)
+            ids, ends = ids[stays], ends[stays]
         spans = np.empty((len(ids), 2), np.uint32)
         if len(ids):
             bounds = alignment.to_source(np.concatenate([[0], ends]))
             spans[:, 0], spans[:, 1] = bounds[:-1], bounds[1:]
-        return Encoding(ids, spans, decimals)
-
-    def _joined_unknown(self, ids: np.ndarray, ends: np.ndarray) -> tuple[array, np.ndarray, str]:
-        """Runs of unknown pieces become one."""
-        stays = np.append((ids[:-1] != self.unknown) | (ids[1:] != self.unknown), True)
-        kept = array("I", ids[stays].astype(np.uint32).tobytes())
-        return kept, ends[stays], ",".join(map(str, kept))
+        kept = array("I", ids.tobytes())
+        return Encoding(kept, spans, ",".join(map(self.decimals.__getitem__, kept)))
 
     # Decoding
 
