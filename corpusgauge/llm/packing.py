@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -305,20 +304,24 @@ def pack(
         tails.select("row", "id", "length", "doc_tokens", "tail_crc"), ["length", "row"], "number"
     )
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Ids stay Arrow values: as pandas numbers, ids beside a null id would be rounded.
+    carried = ["row", "id", "length", "doc_tokens", "tail_crc"]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = batch["number"].to_numpy(np.int64) - 1
-            length = batch["length"].to_numpy(np.int64)
+            number = batch.column("number").to_numpy() - 1
+            length = batch.column("length").to_numpy()
             at = np.searchsorted(plan.first, number, side="right") - 1
             k, laid = number - plan.first[at], plan.offset[at] < 0
             position = plan.sequence[at] + k * length
-            batch["sequence_id"] = np.where(laid, plan.stream + position // window, plan.sequence[at] + k)
-            batch["offset"] = np.where(laid, position % window, plan.offset[at])
-            yield batch.drop(columns="number")
+            sequence = np.where(laid, plan.stream + position // window, plan.sequence[at] + k)
+            offset = np.where(laid, position % window, plan.offset[at])
+            arrays = [batch.column(name) for name in carried] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, [*carried, "sequence_id", "offset"])
 
     fields = f"row bigint, id {kind}, length bigint, doc_tokens bigint, tail_crc bigint, sequence_id bigint, offset bigint"
     placed = steps.keep(
-        numbered.select("row", "id", "length", "doc_tokens", "tail_crc", "number").mapInPandas(place, fields)
+        numbered.select(*carried, "number").mapInArrow(place, fields)
     )
     uncut = placed.filter(F.col("offset") + F.col("length") <= window).select(
         "id",
@@ -334,17 +337,19 @@ def pack(
     few = plan.cuts <= BROADCAST_CUTS  # known exactly: one cut at the end of each sequence at most
     cut_rows = tokens.select("row", "id", "doc_tokens", "ids").join(F.broadcast(cut) if few else cut, "row")
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                start, room = row.doc_tokens - row.length, window - row.offset
-                parts = [(start, room, row.sequence_id, row.offset), (start + room, row.length - room, row.sequence_id + 1, 0)]
-                for begin, size, sequence, offset in parts:
-                    crc = zlib.crc32(row.ids[4 * begin : 4 * (begin + size)])
-                    out.append((row.id, begin, size, crc, row.doc_tokens, sequence, offset))
-            names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-            yield pd.DataFrame(out, columns=names).astype({"id": batch["id"].dtype})
+            lines = batch.select(["doc_tokens", "ids", "length", "sequence_id", "offset"]).to_pylist()
+            source, out = [], []
+            for at, row in enumerate(lines):
+                total, ids, length, sequence, offset = row.values()
+                start, room = total - length, window - offset
+                for begin, size, into, place in ((start, room, sequence, offset), (start + room, length - room, sequence + 1, 0)):
+                    source.append(at)
+                    out.append((begin, size, zlib.crc32(ids[4 * begin : 4 * (begin + size)]), total, into, place))
+            names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            arrays = [pa.array([line[at] for line in out], pa.int64()) for at in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(source, pa.int64())), *arrays], ["id", *names])
 
     # Whole windows get the numbers after the tails' sequences: offsets per partition, then inside it.
     part = F.shiftright("row", 33)
@@ -368,5 +373,5 @@ def pack(
             F.lit(0).cast("bigint").alias("offset"),
         )
     )
-    pieces = uncut.unionByName(cut_rows.mapInPandas(split, piece)).unionByName(whole)
+    pieces = uncut.unionByName(cut_rows.mapInArrow(split, piece)).unionByName(whole)
     return pieces.withColumnRenamed("id", id_col)

@@ -102,3 +102,12 @@ def test_every_tail_is_placed_once():
     assert plan.sequences >= 400_000
     total = (np.arange(2048) * histogram).sum()
     assert plan.sequences * 2048 - total < 2048
+
+
+def test_large_ids_beside_null_ids(spark):
+    """Ids above 2**53 stay what they are where a batch holds null ids too."""
+    rows = [(2**60 + 1 + at, f"text number {at} " * (1 + at % 40) * (30 if at % 50 == 0 else 1)) for at in range(200)] + [(None, "one"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [row.doc_id for row in packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id").collect()]
+    assert set(got) == {doc_id for doc_id, _ in rows}
+    assert len(got) >= len(rows)
