@@ -155,20 +155,24 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = sorted({_key(*row) for row in starts})
     blocks = max(1, len(keys))
 
+    # Null ids are told apart before pandas sees the ids: a null among them would round the others.
+    filler = next((identity for identity, _ in starts if identity is not None), None)
+
     @F.pandas_udf("block int, first boolean")
-    def locate(ids: pd.Series, ties: pd.Series) -> pd.DataFrame:
+    def locate(ids: pd.Series, missing: pd.Series, ties: pd.Series) -> pd.DataFrame:
         found, first = [], []
-        for identity, tie in zip(ids, ties):
-            key = _key(None if pd.isna(identity) else identity, tie)
+        for identity, absent, tie in zip(ids, missing, ties):
+            key = _key(None if absent else identity, tie)
             at = bisect.bisect_right(keys, key) - 1
             found.append(at)
             first.append(keys[at] == key)
         return pd.DataFrame({"block": found, "first": first})
 
+    whole_id = F.coalesce("id", F.lit(filler).cast(kind))
     own = F.struct(F.col("at.block").alias("block"), F.lit(False).alias("extra"))
     ahead = F.struct(((F.col("at.block") + blocks - 1) % blocks).alias("block"), F.lit(True).alias("extra"))
     placed = (
-        rows.withColumn("at", locate("id", "tie"))
+        rows.withColumn("at", locate(whole_id, F.col("id").isNull(), "tie"))
         .withColumn("to", F.when(F.col("at.first"), F.array(own, ahead)).otherwise(F.array(own)))
         .select("id", "text", "tie", F.explode("to").alias("to"))
         .select("id", "text", "tie", "to.block", "to.extra")

@@ -67,3 +67,13 @@ def test_odd_rows(spark):
     assert sorted(map(str, got)) == sorted(map(str, expected(rows)))
     assert fp.fingerprint_documents(docs.filter("false")).count() == 0
     assert [tuple(row) for row in fp.fingerprint_documents(docs.filter("doc_id = 5")).collect()] == expected([(5, "x")])
+
+
+def test_large_ids_beside_null_ids(spark, monkeypatch):
+    """Ids above 2**53 stay what they are where a batch holds null ids too."""
+    monkeypatch.setattr(fp, "LEAST_BLOCK", 20)
+    rows = [(2**60 + 1 + at, f"text number {at} " * (1 + at % 40) * (30 if at % 50 == 0 else 1)) for at in range(200)] + [(None, "one"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [row.doc_id for row in fp.fingerprint_documents(docs).select("doc_id").collect()]
+    assert set(got) == {doc_id for doc_id, _ in rows}
+    assert len(got) == len(rows)
