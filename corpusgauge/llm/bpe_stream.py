@@ -3,9 +3,9 @@
 Two tokens a, b are compatible if the merges turn the bytes of ab back into a, b; a sequence is the
 encoding of its bytes if and only if all its neighbours are compatible. So the encoding of a prefix
 is known by its last token and the prefix before it, and the transducer keeps that pair for the
-last few positions. A later token starts at one of the last ``longest`` positions; where the
-encodings of all of them run through the same position, everything before it is stable and is
-emitted. Memory is bounded by the merge list's lookahead, not by the text.
+last few positions. ``sufficient_lookahead`` computes from the merge list how many bytes after a
+border decide it; tokens up to the last border that has as many bytes after it are stable and are
+emitted. Memory is bounded by that lookahead, not by the text.
 
 Defined results: null text counts as empty, with no ids and the digests of nothing; special strings
 are one token each; ids may be null or repeat, each row gives one row; an empty table gives no rows.
@@ -15,6 +15,7 @@ Other columns are never read.
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 from array import array
 from collections.abc import Iterator
@@ -66,14 +67,20 @@ class Transducer:
     def __init__(self, vocab: Vocabulary) -> None:
         self.vocab = vocab
         self.whole, self.longest = vocab.whole, vocab.longest
-        # Every ending of a token, with the token's id or -1: a walk backwards stops where no token
-        # can end that way.
-        self.endings = {token[at:]: -1 for token in vocab.whole for at in range(len(token))}
-        self.endings.update(vocab.whole)
+        # The tokens read backwards, as nested tables by byte; a token's id stands under -1. A walk
+        # backwards stops where no token can end that way.
+        self.backwards: dict[int, dict | int] = {}
+        for token, number in vocab.whole.items():
+            node = self.backwards
+            for byte in reversed(token):
+                node = node.setdefault(byte, {})
+            node[-1] = number
         # The two tokens that the last merge of a token joins, and the rank of that merge.
         self.parts = {number: tuple(vocab.merge(token, 2)) for token, number in vocab.whole.items() if len(token) > 1}
         self.formed = {number: vocab.merges[pair][0] for number, pair in self.parts.items()}
         self._joined = Memo(self._compatible, longest=2)
+        #: Bytes after a border between tokens beyond which no later byte can move it.
+        self.lookahead = sufficient_lookahead(vocab)
         self.start()
 
     def _compatible(self, pair: tuple[int, int]) -> bool:
@@ -105,8 +112,8 @@ class Transducer:
     def push(self, data: bytes) -> list[int]:
         """Take bytes; return the ids that became stable."""
         out: list[int] = []
-        for at in range(0, len(data), 256):
-            for byte in data[at : at + 256]:
+        for at in range(0, len(data), self.lookahead):
+            for byte in data[at : at + self.lookahead]:
                 self._step(byte)
             out += self._emit_stable()
         return out
@@ -122,17 +129,17 @@ class Transducer:
         token = self.whole.get(data)
         if token is not None:
             return [token]
-        endings, joined = self.endings, self._joined
+        backwards, joined = self.backwards, self._joined
         starts, tokens = [0], [-1]
         for end in range(1, len(data) + 1):
-            found, start = [], end - 1
-            while start >= 0:
-                token = endings.get(data[start:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    found.append((start, token))
+            found, node, start = [], backwards, end
+            while start:
                 start -= 1
+                node = node.get(data[start])
+                if node is None:
+                    break
+                if -1 in node:
+                    found.append((start, node[-1]))
             for start, token in reversed(found):
                 before = tokens[start]
                 if before < 0 or joined[before, token]:
@@ -148,16 +155,15 @@ class Transducer:
 
     def _step(self, byte: int) -> None:
         self.window.append(byte)
-        window, end = self.window, len(self.window)
-        found, start = [], end - 1
-        endings = self.endings
-        while start >= 0:
-            token = endings.get(bytes(window[start:end]))
-            if token is None:
-                break
-            if token >= 0:
-                found.append((start, token))
+        window, start = self.window, len(self.window)
+        found, node = [], self.backwards
+        while start:
             start -= 1
+            node = node.get(window[start])
+            if node is None:
+                break
+            if -1 in node:
+                found.append((start, node[-1]))
         for start, token in reversed(found):
             before = self.last[start][1]
             if before < 0 or self._joined[before, token]:
@@ -174,13 +180,10 @@ class Transducer:
         return ids
 
     def _emit_stable(self) -> list[int]:
-        end = len(self.window)
-        live = set(range(max(0, end - self.longest + 1), end + 1))
-        while len(live) > 1:
-            top = max(live)
-            live.remove(top)
-            live.add(self.last[top][0])
-        stable = live.pop()
+        """The tokens up to the last border that has the lookahead's bytes after it."""
+        stable = len(self.window)
+        while stable > 0 and len(self.window) - stable < self.lookahead:
+            stable = self.last[stable][0]
         if stable == 0:
             return []
         ids = self._chain(stable, 0)
@@ -292,7 +295,13 @@ def encode_text(encoder: StreamingEncoder, vocab: Vocabulary, text: str) -> arra
 
 def encoder_for(path: str) -> StreamingEncoder:
     """The worker's encoder for a vocabulary file."""
-    return worker_state(f"streaming encoder {path}", lambda: StreamingEncoder(Vocabulary(path)))
+
+    def build() -> StreamingEncoder:
+        encoder = StreamingEncoder(Vocabulary(path))
+        gc.freeze()  # the tables stay: the garbage collector need not walk through them again
+        return encoder
+
+    return worker_state(f"streaming encoder {path}", build)
 
 
 def encode_documents(

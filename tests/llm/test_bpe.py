@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from array import array
 
 import public_tokenizers
@@ -86,3 +87,29 @@ def test_rows(spark, library):
     )
     empty = docs.filter("false")
     assert bpe_stream.encode_documents(empty, PATH).count() == token_counts.count_tokens(empty, PATH).count() == 0
+
+
+def test_long_pre_tokens_take_seconds(library):
+    draw = random.Random(11)
+    counter = token_counts.TokenCounter(vocabulary(PATH))
+    started = time.time()
+    for text in ("".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEF", k=200_000)), "a" * 200_000, "acgt" * 30_000):
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert time.time() - started < 30
+
+
+def test_emission_follows_the_bound(library):
+    """What is emitted is what lies the lookahead behind the end, and no later byte changes it."""
+    vocab = vocabulary(PATH)
+    transducer, draw = bpe_stream.Transducer(vocab), random.Random(12)
+    assert transducer.lookahead == bpe_stream.sufficient_lookahead(vocab)
+    for alphabet in ("a", "ab", "the in", "etaoinshrdlu", "=-", "".join(map(chr, range(33, 127)))):
+        data = "".join(c for c in draw.choices(alphabet, k=6000) if c != " ").encode()
+        ids, at = [], 0
+        while at < len(data):
+            step = draw.choice([1, 7, 300])
+            ids += transducer.push(data[at : at + step])
+            at += step
+            left = len(transducer.window)
+            assert left < transducer.lookahead + vocab.longest + 1
+        assert ids + transducer.finish() == vocab.merge(data)
