@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return Steps(df.sparkSession).keep(df)
 
 
+_recorded: list[list[Steps]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Delete, at the end, the step tables of every run that begins inside.
+
+    What is still needed then must have been written by a run that began before.
+    """
+    made: list[Steps] = []
+    _recorded.append(made)
+    try:
+        yield
+    finally:
+        _recorded.remove(made)
+        for steps in made:
+            steps.drop_all()
+
+
 class Steps:
     """Step tables of one run, in a folder of their own that all executors share.
 
@@ -47,6 +68,8 @@ class Steps:
         self.spark = spark
         self.folder = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
         self._paths: dict[int, str] = {}
+        if _recorded:
+            _recorded[-1].append(self)
 
     def path(self, name: str | None = None) -> str:
         return f"{self.folder}/{name or uuid.uuid4().hex}"
@@ -65,5 +88,13 @@ class Steps:
             path = table if isinstance(table, str) else self._paths.pop(id(table))
             if not path.startswith(f"{self.folder}/"):
                 raise ValueError(f"{path} is not a step of this run")
-            jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+            self._delete(path)
+
+    def drop_all(self) -> None:
+        """Delete the run's folder."""
+        self._paths.clear()
+        self._delete(self.folder)
+
+    def _delete(self, path: str) -> None:
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
