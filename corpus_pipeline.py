@@ -17,10 +17,11 @@ columns beyond those of documents are carried to the last stage.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.durable import Steps
+from corpusgauge.durable import Steps, scratch
 from corpusgauge.llm import bound_batches, exact_dedup, language_id, near_dedup, packing, secrets
 from corpusgauge.shipping import ship
 
@@ -35,11 +36,19 @@ def _ready(spark: SparkSession) -> None:
 
 
 def _numbered(docs: DataFrame, steps: Steps) -> tuple[DataFrame, str]:
-    """The documents as a table with a row number, and that column's name."""
+    """The documents with a column that tells their rows apart, and that column's name.
+
+    Rows of a table of files are known by their file and their place in it, so nothing is copied
+    (files are told apart by 64-bit hashes of their paths); other rows are numbered in a table.
+    """
     name = "row_number"
     while name in docs.columns:
         name = "_" + name
-    return steps.keep(docs.withColumn(name, F.monotonically_increasing_id())), name
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.select("*", place.alias(name)), name
+    except AnalysisException:  # no table of files
+        return steps.keep(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def _bounded(small: DataFrame, array: str | None = None) -> DataFrame:
@@ -72,8 +81,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
-    marked = exact_dedup.deduplicate_once(rows.select(_identity(number).alias("id"), "text"), "id", "text")
-    kept = steps.keep(marked.filter("kept").select(F.col("id.row").alias(number)))
+    with scratch():
+        marked = exact_dedup.deduplicate_once(rows.select(_identity(number).alias("id"), "text"), "id", "text")
+        kept = steps.keep(marked.filter("kept").select(F.col("id.row").alias(number)))
     return rows.join(_bounded(kept), number, "left_semi").drop(number)
 
 
@@ -82,8 +92,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
-    grouped = near_dedup.group(rows.select(_identity(number).alias("id"), "text"), 5, 80, "id", "text")
-    kept = steps.keep(grouped.filter("kept").select(F.col("id.row").alias(number)))
+    with scratch():
+        grouped = near_dedup.group(rows.select(_identity(number).alias("id"), "text"), 5, 80, "id", "text")
+        kept = steps.keep(grouped.filter("kept").select(F.col("id.row").alias(number)))
     return rows.join(_bounded(kept), number, "left_semi").drop(number)
 
 
@@ -92,8 +103,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
     steps = Steps(spark)
     rows, number = _numbered(docs, steps)
-    scanned = secrets.scan(rows.select(F.col(number).alias("id"), "text"), "id", "text")
-    hits = steps.keep(scanned.filter(F.size("spans") > 0).select(F.col("id").alias(number), F.col("spans").alias("found")))
+    with scratch():
+        scanned = secrets.scan(rows.select(F.col(number).alias("id"), "text"), "id", "text")
+        found = scanned.filter(F.size("spans") > 0)
+        hits = steps.keep(found.select(F.col("id").alias(number), F.col("spans").alias("found")))
     whole = rows.select(number, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
     joined = whole.join(_bounded(hits, "found"), number, "left")
     text = F.when(F.col("found").isNull(), F.col("doc.text")).otherwise(secrets.redact(F.col("doc.text"), F.col("found")))
@@ -125,9 +138,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; all but the last are written and read again."""
+    """All stages over the documents table; all but the last are written and read again.
+
+    A stage's step tables and its input go once its output is written.
+    """
     steps = Steps(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, source = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = steps.keep(stage(spark, docs, sf_dir))
+        with scratch():
+            docs = steps.keep(stage(spark, docs, sf_dir))
+        if source is not None:
+            steps.drop(source)
+        source = docs
     return STAGES[-1][1](spark, docs, sf_dir)
