@@ -20,6 +20,7 @@ symbols, a denormaliser or space marks as suffixes, are refused.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -46,6 +47,8 @@ BPE = 2
 MOST_MATCHES = 32
 #: Characters of a unit up to which a list of scores beats a heap, and the score of what does not join.
 SHORT, NONE = 48, float("-inf")
+#: Characters of texts whose units are looked up and merged together.
+TOGETHER = 1 << 20
 _MARK_BYTES = len(MARK.encode())
 
 
@@ -162,6 +165,7 @@ class PieceModel:
         mark = re.escape(self.mark)
         self._units = re.compile("(?s).+" if whole else f"{mark}+[^{mark}]*|[^{mark}]+")
         self._memo = Memo(self._unit, limit=250_000)
+        self._tables()
 
     @staticmethod
     def _shown(piece, trainer) -> bytes:
@@ -347,8 +351,11 @@ class PieceModel:
 
     def encode(self, text: str) -> Encoding:
         shown, alignment = self.normalise(text)
+        return self._finish(alignment, self._units.findall(shown))
+
+    def _finish(self, alignment: Alignment, units: list[str]) -> Encoding:
         # The memo holds bytes alone, which the garbage collector does not walk through.
-        found = b"".join(map(self._memo.__getitem__, self._units.findall(shown)))
+        found = b"".join(map(self._memo.__getitem__, units))
         both = np.frombuffer(found, np.uint32).reshape(-1, 2)
         ids, ends = both[:, 0], np.cumsum(both[:, 1], dtype=np.int64)
         if self.bytes is None and len(ids):
@@ -362,6 +369,105 @@ class PieceModel:
         kept = array("I", ids.tobytes())
         return Encoding(kept, spans, ",".join(map(self.decimals.__getitem__, kept)))
 
+    def encode_many(self, texts: list[str]) -> Iterator[Encoding]:
+        """The texts' encodings; units that the memo lacks are merged side by side."""
+        at = 0
+        while at < len(texts):
+            size, held = 0, []
+            while at < len(texts) and (not held or size + len(texts[at]) <= TOGETHER):
+                shown, alignment = self.normalise(texts[at])
+                held.append((alignment, self._units.findall(shown)))
+                size += len(shown)
+                at += 1
+            memo, older = self._memo, self._memo.older
+            lacking = {unit for _, units in held for unit in units if unit not in memo and unit not in older}
+            self._merge_together(sorted((unit for unit in lacking if len(unit) <= SHORT), key=len))
+            for alignment, units in held:
+                yield self._finish(alignment, units)
+
+    def _merge_together(self, units: list[str]) -> None:
+        """Merge many units in step, one row each, into the memo; those with unknown characters are left out."""
+        for first in range(0, len(units), 4096):
+            part = units[first : first + 4096]
+            width = len(part[-1])
+            points = np.frombuffer("".join(unit.ljust(width, "\0") for unit in part).encode("utf-32-le"), np.uint32)
+            ids = self.of_point[points].reshape(-1, width)
+            columns = np.arange(width)
+            lengths = np.array([len(unit) for unit in part])
+            beyond = columns >= lengths[:, None]
+            known = (beyond | (ids >= 0)).all(axis=1)
+            ids, beyond = ids[known], beyond[known]
+            part = [unit for unit, whole in zip(part, known.tolist()) if whole]
+            ids[beyond] = -1
+            if width > 1 and part:
+                self._join_rows(ids)
+            kept = ids >= 0
+            both = np.empty((int(kept.sum()), 2), np.uint32)
+            both[:, 0] = ids[kept]
+            both[:, 1] = self.piece_bytes[both[:, 0]]
+            data, end = both.tobytes(), 0
+            for unit, count in zip(part, kept.sum(axis=1).tolist()):
+                self._memo.put(unit, data[end : end + 8 * count])
+                end += 8 * count
+
+    def _join_rows(self, ids: np.ndarray) -> None:
+        """Rows of piece ids, -1 at their ends: join the best neighbours of every row until none is left."""
+        score, joined = self._pairs(ids[:, :-1], ids[:, 1:])
+        live = np.arange(len(ids))
+        while len(live):
+            best = score.argmax(axis=1)
+            at = np.arange(len(live))
+            going = score[at, best] > NONE
+            live, score, joined, best = live[going], score[going], joined[going], best[going]
+            if not len(live):
+                return
+            at, row = np.arange(len(live)), ids[live]
+            row[at, best] = joined[at, best]
+            # What follows the pair moves up by one place.
+            from_pair = np.arange(row.shape[1] - 1)
+            moved = from_pair > best[:, None]
+            row[:, :-1] = np.where(moved, row[:, 1:], row[:, :-1])
+            row[:, -1] = -1
+            if score.shape[1] > 1:
+                behind = moved[:, :-1] | (from_pair[:-1] == best[:, None])
+                score[:, :-1] = np.where(behind, score[:, 1:], score[:, :-1])
+                joined[:, :-1] = np.where(behind, joined[:, 1:], joined[:, :-1])
+            score[:, -1] = NONE
+            for place in (best - 1, best):
+                inside = np.flatnonzero((place >= 0) & (place < score.shape[1]))
+                rows, columns = at[inside], place[inside]
+                score[rows, columns], joined[rows, columns] = self._pairs(row[rows, columns], row[rows, columns + 1])
+            ids[live] = row
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of the piece that two pieces join to."""
+        keys = left.astype(np.int64) << 32 | right
+        keys[(left < 0) | (right < 0)] = -1
+        place = np.searchsorted(self.pair_keys, keys)
+        place[place == len(self.pair_keys)] = 0
+        met = self.pair_keys[place] == keys
+        return np.where(met, self.pair_scores[place], NONE), np.where(met, self.pair_ids[place], -1)
+
+    def _tables(self) -> None:
+        """Pieces by code point, bytes of pieces, and the pairs of pieces that join, for merging in step."""
+        self.of_point = np.full(0x110000, -1, np.int32)
+        self.piece_bytes = np.zeros(len(self.decimals), np.uint32)
+        pairs = {}
+        for piece, number in self.ids.items():
+            self.piece_bytes[number] = len(piece.encode())
+            if len(piece) == 1:
+                self.of_point[ord(piece)] = number
+            for cut in range(1, len(piece)):
+                left, right = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = number
+        self.pair_keys = np.array(sorted(pairs) or [-2], np.int64)
+        self.pair_ids = np.array([pairs.get(key, -1) for key in self.pair_keys.tolist()], np.int32)
+        score_of = np.full(len(self.decimals) + 1, NONE)
+        for piece, number in self.ids.items():
+            score_of[number] = self.scores[piece]
+        self.pair_scores = score_of[self.pair_ids]
+
     # Decoding
 
     def decode(self, ids: array) -> str:
@@ -417,7 +523,9 @@ def model(path: str) -> PieceModel:
 
     def read() -> PieceModel:
         with open(path, "rb") as file:
-            return PieceModel(file.read())
+            made = PieceModel(file.read())
+        gc.freeze()  # the tables stay: the garbage collector need not walk through them again
+        return made
 
     return worker_state(f"pieces {path}", read)
 
@@ -443,8 +551,7 @@ def encode_documents(
         width = len(names) if with_pieces else 4
         for batch in batches:
             made: list[list] = [[] for _ in range(width)]
-            for cell in batch.column("text"):
-                encoding = pieces.encode(cell.as_py())
+            for encoding in pieces.encode_many(batch.column("text").to_pylist()):
                 decoded = pieces.decode(encoding.ids)
                 cells = [
                     len(encoding.ids),

@@ -70,6 +70,15 @@ def test_any_ids_decode_as_the_library_does(name):
         assert OURS[name].decode(ids) == LIBRARY[name].decode(ids), (name, ids)
 
 
+@pytest.mark.parametrize("name", MODELS)
+def test_texts_together_equal_texts_alone(name):
+    draw = random.Random(6)
+    texts = ["".join(draw.choices(ALPHABET + "etaoin   ", k=draw.randrange(60))) for _ in range(600)] + ["", "▁▁▁ the", "x" * 70]
+    texts += [" ".join("".join(draw.choices("etaoinshrdlu", k=draw.randrange(1, 14))) for _ in range(3000))]
+    for text, got in zip(texts, pieces.PieceModel(MODELS[name]).encode_many(texts), strict=True):
+        assert list(got.ids) == LIBRARY[name].encode(text), (name, text)
+
+
 def test_a_long_run_takes_seconds():
     draw = random.Random(2)
     text = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", k=200_000))
