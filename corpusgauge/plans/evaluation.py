@@ -12,6 +12,7 @@ from corpusgauge.plans.curation import FOLDS_SQL, LABEL_ORDER_SQL, scratch
 from corpusgauge.plans.registry import query
 from corpusgauge.plans.views import LABELS, PREDS_SQL
 from corpusgauge.sources import tables
+from corpusgauge.sources.runs import RunStore
 
 ERRORS_SQL = """COUNT(*) AS n, CAST(SUM(1 - is_correct) AS BIGINT) AS error_count,
   ROUND(CAST(SUM(1 - is_correct) AS DOUBLE) / COUNT(*), 4) AS error_rate"""
@@ -207,7 +208,7 @@ BOOTSTRAP_SQL = f"""WITH {PREDS_SQL}, members AS (
   SELECT b.iteration, m.true_label,
          1 + CAST('0x' || substr(md5('42:' || b.iteration || ':' || m.true_label || ':' || m.draw), 1, 8) AS BIGINT) % m.size
            AS pick
-  FROM members m, range(200) b(iteration)
+  FROM members m, range(2000) b(iteration)
 ), drawn AS (
   SELECT iteration, true_label, m.predicted_label FROM draws JOIN members m USING (true_label) WHERE m.place = pick
 ), sides AS (
@@ -218,13 +219,13 @@ BOOTSTRAP_SQL = f"""WITH {PREDS_SQL}, members AS (
   SELECT iteration, SUM(f1) / 4 AS macro_f1
   FROM (SELECT iteration, l, 2 * SUM(hits) / CAST(SUM(weight) AS DOUBLE) AS f1 FROM sides GROUP BY 1, 2) GROUP BY 1)
 SELECT ROUND(quantile_cont(macro_f1, 0.025), 6) AS lower, ROUND(quantile_cont(macro_f1, 0.975), 6) AS upper,
-       CAST(200 AS BIGINT) AS iterations
+       CAST(2000 AS BIGINT) AS iterations
 FROM scores"""
 
 
 @query("bootstrap_by_draws", BOOTSTRAP_SQL)
 def bootstrap_by_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = metrics.bootstrap_by_draws(views.preds(spark, sf_dir), LABELS, 200)
+    table = metrics.bootstrap_by_draws(views.preds(spark, sf_dir), LABELS, 2000)
     return table.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
 
 
@@ -465,18 +466,13 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def replaced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run a is stored, run b is stored, then run a is stored again with fewer rows."""
-    base = scratch(spark)
+    store = RunStore(spark, scratch(spark))
     rows = narrow(spark, sf_dir)
     for run_id, frame in (("a", rows), ("b", rows), ("a", rows.filter("true_label <> 'en'"))):
-        run = spark.createDataFrame([(run_id, "stop_words")], "run_id string, model_name string")
-        tables.replace_run(frame, run, f"{base}/predictions", f"{base}/runs")
-    stored = tables.read_parquet(spark, f"{base}/predictions")
-    runs = tables.read_parquet(spark, f"{base}/runs").select("run_id")
-    return (
-        stored.join(F.broadcast(runs), "run_id", "left_semi")
-        .groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("is_correct").alias("correct"))
-    )
+        store.replace(frame, spark.createDataFrame([(run_id, "stop_words")], "run_id string, model_name string"))
+    sizes = store.predictions().groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.sum("is_correct").alias("correct"))
+    # Both sides have one row per run.
+    return store.runs().select("run_id").join(sizes, "run_id")
 
 
 @query(

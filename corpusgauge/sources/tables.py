@@ -86,27 +86,3 @@ def translate_keys(
     if found:
         raise ValueError(f"rows reference unknown {external}: {found}")
     return df.join(mapping, external).drop(external)
-
-
-def replace_run(
-    predictions: DataFrame, run: DataFrame, predictions_path: str, runs_path: str
-) -> None:
-    """Replace one run's predictions and its row in the run table.
-
-    Both tables are partitioned by ``run_id`` and only the partitions present in the new data
-    are overwritten, so other runs are never rewritten and a retry gives the same tables.
-    The run row is written last: a run listed there has its predictions in place.
-    """
-    run_ids = [row[0] for row in run.select("run_id").distinct().limit(2).collect()]
-    if len(run_ids) != 1:
-        raise ValueError("exactly one run is replaced at a time")
-    for frame, path in (
-        (predictions.withColumn("run_id", F.lit(run_ids[0])), predictions_path),
-        (run, runs_path),
-    ):
-        (
-            frame.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id")
-            .parquet(path)
-        )

@@ -89,7 +89,7 @@ def test_registered_queries_ask_for_the_whole_job(monkeypatch):
 
     monkeypatch.setattr(learning.models, "grouped_search", search)
     monkeypatch.setattr(learning.models, "learning_curve", curve)
-    monkeypatch.setattr(learning.models, "source_holdout", lambda rows, setting, labels: asked.update(holdout=rows))
+    monkeypatch.setattr(learning.models, "source_holdout", lambda rows, setting, labels, least: asked.update(holdout=rows))
     for query in (learning.grid_search, learning.out_of_fold_recall):
         asked.pop("search", None)
         query(None, "")
