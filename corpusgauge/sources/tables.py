@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusgauge.operators.keyed import number_rows
+from corpusgauge.sources.csv_records import csv_records
 
 
 def read_parquet(
@@ -19,7 +20,20 @@ def read_parquet(
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; quotes are doubled and a value may span lines."""
+    """CSV with a header; quotes are doubled and a value may span lines. Large files are split."""
+    options = {
+        "escape": '"',
+        # A record is parsed alone, and it holds line ends only inside of values.
+        "multiLine": "true",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    kind = schema if isinstance(schema, str) else schema.toDDL()
+    return csv_records(spark, path).select(F.from_csv("record", kind, options).alias("row")).select("row.*")
+
+
+def read_csv_whole(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The same by Spark's own reader, which takes each file in one task."""
     return (
         spark.read.schema(schema)
         .option("header", True)
