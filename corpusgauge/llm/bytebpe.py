@@ -5,12 +5,14 @@ The file is read by path on each worker and kept for the worker's life.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import heapq
 import json
 import re
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import regex
 
 # White space by Unicode's White_Space property.
@@ -170,11 +172,21 @@ def worker_state(owner: str, make: Callable[[], object] = lambda: None):
     """
     global _held
     if _held[0] != owner:
-        _held = ("", None)
+        if _held[0]:
+            _held = ("", None)
+            _give_back()
         _held = (owner, make())
     return _held[1]
 
 
+def _give_back() -> None:
+    """Return freed memory to the machine, so that a worker that waits does not hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Memo(dict):
     """Results of ``compute`` for short keys; at most ``2 * limit`` of them are held.
 
