@@ -30,9 +30,14 @@ RAW_BITS = 8.0
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes of a batch of rows in a worker: stages follow each other in the same workers.
+BATCH_BYTES = str(4 << 20)
+
+
 def _ready(spark: SparkSession) -> None:
     ship(spark)
     bound_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def _numbered(docs: DataFrame, steps: Steps) -> tuple[DataFrame, str]:
