@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusgauge.durable import materialize
 from corpusgauge.functions.text import LENGTH_BANDS, band, position, ratio
 
 # Confidence thresholds of the coverage curve.
@@ -100,33 +101,31 @@ def coverage_curve(
 def representative_cases(predictions: DataFrame, per_outcome: int = 5) -> DataFrame:
     """Deterministic wrong (lowest score) and right (highest score) rows, taken label by label.
 
-    The score of an outcome is its confidence, or the decision score where it has none. The
-    leading rows of each label are chosen by both scores at once from narrow columns, together
-    with the count of confidences that decides between them; texts are fetched for the few rows
-    that are shown.
+    The score of an outcome is its confidence, or the decision score where it has none. What
+    the choice needs is computed once, as a narrow table; texts are fetched for the few rows that
+    are shown.
     """
-    narrow = predictions.select(
-        "source_question_id", "true_label", (F.col("is_correct") == 0).alias("wrong"), "confidence", "decision_score"
-    ).filter("wrong IS NOT NULL")
+    shown = ["source_question_id", "true_label", "predicted_label", "source_name", "text_length", "confidence", "decision_score"]
+    narrow = materialize(
+        predictions.select(*shown, (F.col("is_correct") == 0).alias("wrong")).filter("wrong IS NOT NULL")
+    )
+    confident = {r["wrong"] for r in narrow.filter("confidence IS NOT NULL").select("wrong").distinct().collect()}
+    by_confidence = F.col("wrong").isin(*confident) if confident else F.lit(False)
     sign = F.when(F.col("wrong"), 1.0).otherwise(-1.0)
-    ranked = narrow.select(
-        "wrong", "true_label", "source_question_id", "confidence", F.posexplode(F.array("confidence", "decision_score"))
-    ).withColumn("_score", sign * F.col("col"))
-    in_label = Window.partitionBy("pos", "wrong", "true_label").orderBy(F.col("_score").asc_nulls_last(), "source_question_id")
-    leading = ranked.withColumn("_turn", F.row_number().over(in_label)).filter(F.col("_turn") <= per_outcome)
-    confident = narrow.groupBy("wrong").agg((F.count("confidence") > 0).alias("_confident"))
+    score = sign * F.when(by_confidence, F.col("confidence")).otherwise(F.col("decision_score"))
+    in_label = Window.partitionBy("wrong", "true_label").orderBy(F.col("_score").asc_nulls_last(), "source_question_id")
     in_outcome = Window.partitionBy("wrong").orderBy("_turn", "true_label")
+    # Spark drops rows beyond the limit before the shuffle of such a window.
+    leading = narrow.withColumn("_score", score).withColumn("_turn", F.row_number().over(in_label))
+    leading = leading.filter(F.col("_turn") <= per_outcome)
+    chosen = leading.withColumn("_place", F.row_number().over(in_outcome)).filter(F.col("_place") <= per_outcome)
     # At most ``per_outcome`` rows of each outcome.
-    chosen = (
-        leading.join(F.broadcast(confident), "wrong")
-        .filter((F.col("pos") == 0) == F.col("_confident"))
-        .withColumn("_place", F.row_number().over(in_outcome))
-        .filter(F.col("_place") <= per_outcome)
-        .select("source_question_id", "wrong", "_place")
-    )
+    texts = predictions.select("source_question_id", "question_text", (F.col("is_correct") == 0).alias("wrong"))
+    wanted = materialize(chosen.select(*shown, "wrong", "_place"))
+    ids = [r["source_question_id"] for r in wanted.select("source_question_id").distinct().collect()]
+    fetched = texts.filter(F.col("source_question_id").isin(ids)) if ids else texts.limit(0)
     return (
-        predictions.join(F.broadcast(chosen), "source_question_id")
-        .filter((F.col("is_correct") == 0) == F.col("wrong"))
+        fetched.join(F.broadcast(wanted), ["source_question_id", "wrong"])
         .withColumn("outcome", F.when(F.col("wrong"), "incorrect").otherwise("correct"))
         .orderBy(F.desc("outcome"), "_place")
         .select(
