@@ -20,6 +20,6 @@ def test_every_sql_belongs_to_a_query():
     assert set(spec.oracle_sql()) <= set(spec.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(spec.oracle_sql()) - {"near_duplicate_groups"}))
+@pytest.mark.parametrize("name", sorted(spec.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name, spec.queries()[name], spec.oracle_sql()[name]) == ""
