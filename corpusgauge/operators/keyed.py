@@ -11,6 +11,7 @@ from corpusgauge.durable import materialize
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64_000_000
+ROWS_PER_COPY = 1_000
 
 
 def lookup_join(
@@ -48,6 +49,34 @@ def lookup_join(
     return in_heavy.unionByName(in_light)
 
 
+def spread_join(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    spread: str,
+    rows_per_copy: int = ROWS_PER_COPY,
+    narrow: DataFrame | None = None,
+) -> DataFrame:
+    """Inner join of ``facts`` with a keyed table whose rows are too wide to broadcast.
+
+    A key of more than ``rows_per_copy`` fact rows gets a copy of its dimension row for each so many
+    of them, and its facts are dealt over the copies by the hash of column ``spread``. Only the hot
+    keys and their numbers are broadcast, at most BROADCAST_ROWS of them: with more fact rows, a
+    copy serves more. Keys are counted in ``narrow``, a written table with the same keys, or in
+    ``facts``, which must be cheap to read twice then.
+    """
+    counted = facts if narrow is None else narrow
+    counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = max(rows_per_copy, -(-counted.count() // BROADCAST_ROWS))
+    hot = materialize(counts.filter(F.col("_n") > share).select(key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_copies")))
+    if hot.isEmpty():
+        return facts.join(dimension, key)
+    hot, copies = F.broadcast(hot), F.coalesce("_copies", F.lit(1))
+    dealt = facts.join(hot, key, "left").withColumn("_copy", F.pmod(F.xxhash64(spread), copies).cast("int"))
+    copied = dimension.join(hot, key, "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.drop("_copies").join(copied.drop("_copies"), [key, "_copy"]).drop("_copy")
+
+
 def keep_first(
     df: DataFrame, key: Column | str, order: str, flag: str
 ) -> DataFrame:
