@@ -1,4 +1,4 @@
-"""Connected components by contraction, each level a table."""
+"""Connected components by contraction, each level a table; hubs are never dealt to one task."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgauge.durable import Steps
+from corpusgauge.operators.keyed import lookup_join
 
 
 def components(edges: DataFrame, steps: Steps) -> DataFrame:
@@ -18,11 +19,16 @@ def components(edges: DataFrame, steps: Steps) -> DataFrame:
     levels: list[DataFrame] = []
     while not current.isEmpty():
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        points = steps.keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to")))
+        points = steps.keep(
+            both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"), F.count(F.lit(1)).alias("degree"))
+        )
         levels.append(points)
+        # A node's degree is as many edges as it can have on either side.
+        ends = points.select("a", F.col("to").alias("x"), "degree")
+        others = points.select(F.col("a").alias("b"), F.col("to").alias("y"), "degree")
+        first = lookup_join(current, ends, "a", "degree").drop("degree")
         moved = (
-            current.join(points.select("a", F.col("to").alias("x")), "a")
-            .join(points.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
+            lookup_join(first, others, "b", "degree")
             .filter("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
@@ -35,7 +41,7 @@ def components(edges: DataFrame, steps: Steps) -> DataFrame:
     result = levels[-1].select(F.col("a").alias("node"), F.col("to").alias("component"))
     for points in reversed(levels[:-1]):
         onward = result.select(F.col("node").alias("to"), F.col("component").alias("end"))
-        result = points.join(onward, "to", "left").select(
-            F.col("a").alias("node"), F.coalesce("end", "to").alias("component")
-        )
+        heads = points.groupBy("to").agg(F.count(F.lit(1)).alias("nodes"))
+        followed = steps.keep(heads.join(onward, "to", "left").select("to", "nodes", F.coalesce("end", "to").alias("component")))
+        result = lookup_join(points.select("a", "to"), followed, "to", "nodes").select(F.col("a").alias("node"), "component")
     return steps.keep(result)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from corpusgauge.durable import Steps
 from corpusgauge.llm.bytebpe import Memo, worker_state
 from corpusgauge.llm.graph import components
-from corpusgauge.operators.keyed import lookup_join
+from corpusgauge.operators.keyed import lookup_join, spread_join
 
 VALUES = 64
 BLOCK = 128
@@ -187,6 +187,16 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.mapInArrow(run, "node bigint, n bigint, shingles binary")
 
 
+def _beside(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """(a, b, x, y): a pair and the column's value of either node; the pivot of many pairs is copied.
+
+    ``pairs`` is a written table.
+    """
+    sides = {end: nodes.select(F.col("node").alias(end), F.col(column).alias(name)) for end, name in (("a", "x"), ("b", "y"))}
+    half = spread_join(pairs, sides["a"], "a", "b")
+    return spread_join(half, sides["b"], "b", "a", narrow=pairs).select("a", "b", "x", "y")
+
+
 def within_distance(pairs: DataFrame, classes: DataFrame, errors: int) -> DataFrame:
     """The pairs (a, b) whose signatures differ in at most ``errors`` values."""
 
@@ -196,11 +206,7 @@ def within_distance(pairs: DataFrame, classes: DataFrame, errors: int) -> DataFr
             near = pa.array((sides[0] != sides[1]).sum(axis=1) <= errors)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
 
-    signed = classes.select("node", "sig")
-    joined = pairs.join(signed.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(
-        signed.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b"
-    )
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return _beside(pairs, classes, "sig").mapInArrow(run, "a bigint, b bigint")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -212,19 +218,21 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = pa.array([_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in cells], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
-    )
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return _beside(pairs, sets, "shingles").mapInArrow(run, "a bigint, b bigint")
 
 
 # ---------------------------------------------------------------- open buckets
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Rows (key, node, component) of the buckets whose members lie in several components."""
-    keys = members.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return members.join(keys.filter("least <> most").select("key"), "key", "left_semi")
+def _open(members: DataFrame, steps: Steps) -> DataFrame:
+    """Rows (key, node, component) of the buckets whose members lie in several components; kept as a table."""
+    keys = members.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("rows")
+    )
+    open_keys = steps.keep(keys.filter("least <> most").select("key", "rows"))
+    opened = steps.keep(lookup_join(members, open_keys, "key", "rows", BROADCAST_ROWS).drop("rows"))
+    steps.drop(open_keys)
+    return opened
 
 
 def _with_kin(sets: DataFrame, percent: int) -> DataFrame:
@@ -247,13 +255,14 @@ def _with_kin(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("node").distinct().join(without, "node", "left_anti")
 
 
-def _block_links(rows: DataFrame, errors: int, percent: int) -> DataFrame:
+def _block_links(rows: DataFrame, sizes: DataFrame, errors: int, percent: int) -> DataFrame:
     """Links (a, b) between different components inside families, by pairs of blocks.
 
-    ``rows``: node, family, component, sig, shingles.
+    ``rows``: node, family, component, sig, shingles. ``sizes``: family and its ``rows``, a written
+    table; a large family is spread by blocks and never dealt to one task.
     """
-    sizes = rows.groupBy("family").agg(F.count(F.lit(1)).alias("rows"))
-    sized = rows.join(sizes, "family").withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    sized = lookup_join(rows, sizes, "family", "rows", BROADCAST_ROWS)
+    sized = sized.withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     paired = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "family",
@@ -324,8 +333,10 @@ def group(
     members = steps.keep(
         lookup_join(keys, buckets, "key", "size", BROADCAST_ROWS).filter("node <> pivot").select("key", "node", "pivot")
     )
-    pairs = members.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    ends = members.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    pairs = steps.keep(ends.distinct())
     near = steps.keep(within_distance(pairs, classes, errors))
+    steps.drop(pairs)
     touched = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
     sets = steps.keep(full_sets(source, classes.join(touched, "node", "left_semi"), words))
     links = steps.keep(confirm(near, sets, percent))
@@ -336,19 +347,21 @@ def group(
     labelled = members.join(first, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
-    still = steps.keep(_open(labelled))
+    still = _open(labelled, steps)
     open_nodes = still.select("node").distinct()
     sets = steps.keep(full_sets(source, classes.join(open_nodes, "node", "left_semi"), words))
-    still = steps.keep(_open(still.join(_with_kin(sets, percent), "node", "left_semi")))
-    heads = still.groupBy("key").agg(F.min("node").alias("b"))
-    families = components(still.select("key", F.col("node").alias("a")).join(heads, "key"), steps)
-    families = families.withColumnRenamed("component", "family")
+    kin = steps.keep(_with_kin(sets, percent))
+    still = _open(still.join(kin, "node", "left_semi"), steps)
+    sized = steps.keep(still.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("rows")))
+    spokes = lookup_join(still.select("key", F.col("node").alias("a")), sized, "key", "rows", BROADCAST_ROWS)
+    families = components(spokes, steps).withColumnRenamed("component", "family")
+    sizes = steps.keep(families.groupBy("family").agg(F.count(F.lit(1)).alias("rows")))
     rows = (
         families.join(still.select("node", "component").distinct(), "node")
         .join(classes.select("node", "sig"), "node")
         .join(sets.select("node", "shingles"), "node")
     )
-    more = steps.keep(_block_links(rows, errors, percent))
+    more = steps.keep(_block_links(rows, sizes, errors, percent))
     final = first
     if not more.isEmpty():
         final = components(links.unionByName(more), steps)
