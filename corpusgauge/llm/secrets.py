@@ -43,6 +43,8 @@ UNIFORM = {"random": 0.75, "ordinary": 1 / 64}
 CAPITALS = 1 / 16
 #: A piece shorter than this needs the score of one this long.
 LEAST_PIECE = 12
+#: Characters that the distinct pairs of a longer piece must answer for: few enough for a random run over ten digits.
+VARIED = 128
 FOUND = "array<struct<gap:int,size:int,secret:string>>"
 
 
@@ -105,20 +107,29 @@ def likelihood_ratios(random: dict[str, int], ordinary: dict[str, int], weight:
     return [one - other for one, other in zip(*tables)]
 
 
-def score(text: Column, ratios: list[float]) -> Column:
-    """Sum of the ratios over the distinct adjacent pairs of ``text`` (all in the alphabet).
-
-    A pair counts once, so a ruled line or another repetition is no evidence.
-    """
+def score(pairs: Column, ratios: list[float]) -> Column:
+    """Sum of the ratios over an array of adjacent pairs (all in the alphabet)."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     place = lambda pair, at: F.instr(F.lit(ALPHABET), F.substr(pair, F.lit(at), F.lit(1))) - 1
     return F.aggregate(
-        F.array_distinct(pairs_of(text)),
+        pairs,
         F.lit(0.0),
         lambda total, pair: total + F.get(table, place(pair, 1) * len(ALPHABET) + place(pair, 2)),
     )
 
 
+def likelier_random(text: Column, ratios: list[float], bits_per_character: float) -> Column:
+    """Whether ``text`` is likelier random by so many bits a character (those of LEAST_PIECE at least).
+
+    The ratio over all pairs must reach that, and so must the ratio over the distinct pairs, which
+    repetition (a ruled line) does not raise. A long text has fewer distinct pairs than characters,
+    so these answer for VARIED characters at most.
+    """
+    length = F.greatest(F.length(text), F.lit(LEAST_PIECE))
+    varied = score(F.array_distinct(pairs_of(text)), ratios) > bits_per_character * F.least(length, F.lit(VARIED))
+    return varied & (score(pairs_of(text), ratios) > bits_per_character * length)
+
+
 def ordinary_words(text: Column, least_candidate: int) -> Column:
     """Distinct runs shorter than a candidate that are not part of a labelled secret."""
     words = F.regexp_extract_all(text, F.lit(WORD % max(2, least_candidate - 1)), F.lit(2))
@@ -196,8 +207,7 @@ def _scan_rows(rows: DataFrame, words: DataFrame, steps: Steps, bits_per_charact
         for sample in (base.select("secret").distinct(), words.distinct())
     ]
     ratios = likelihood_ratios(*counts)
-    least = bits_per_character * F.greatest(F.length("secret"), F.lit(LEAST_PIECE))
-    added = free.filter(score(F.col("secret"), ratios) > least)
+    added = free.filter(likelier_random(F.col("secret"), ratios, bits_per_character))
     every = base.drop("secret").unionByName(added.drop("secret").withColumn("kind", F.lit(KINDS.index("markov") + 1)))
     spans = every.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     return rows.select("row", "id").join(spans, "row", "left").select(

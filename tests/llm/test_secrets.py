@@ -103,6 +103,16 @@ def test_unlabelled_secrets_do_not_vouch_for_themselves(spark, labelled, keys, c
     assert len(found) >= 0.98 * keys * copies
 
 
+def test_random_runs_of_any_length(spark):
+    draw = random.Random(10)
+    rows = list(prose(draw, BASE62))
+    ruled = ["=" * 100_000, "-=" * 30_000, "+----" * 12_000, "get_user_name_from_table_list_" * 3_000]
+    rows += [(500 + at, f"see {text} there") for at, text in enumerate(ruled)]
+    sizes = [40, 128, 500, 2_000, 8_000, 20_000, 100_000]
+    rows += [(1000 + at, f"see {''.join(draw.choices(BASE62, k=size))} there") for at, size in enumerate(sizes)]
+    assert found_markov(spark, rows) == {1000 + at for at in range(len(sizes))}
+
+
 def test_pieces_that_stick_out_of_a_base_span(spark):
     draw = random.Random(8)
     rows = list(prose(draw, BASE62))
