@@ -1,8 +1,9 @@
 """Exact duplicates through a persistent digest index, in DataFrame operations only.
 
 The index is a table bucketed and sorted by digest. A batch is cut down to one row per digest,
-anti-joined with the index by sort-merge (the index side is neither shuffled nor sorted again),
-and what is new is appended to it.
+anti-joined with the index by sort-merge (the index side is not shuffled), and what is new is
+appended to it. A whole table goes through the index in batches from long to short texts, so of
+equal texts the first that the index meets is the one that stays.
 
 Defined results: null text counts as empty, so null, empty and white-space-only texts are equal;
 a null id is the smallest id; rows that repeat an id are rows of their own and are counted in
@@ -26,6 +27,8 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 ROWS_PER_BUCKET = 2_000_000
 #: Digests broadcast at once; 100,000 of them take about 25 MB.
 BROADCAST_DIGESTS = 100_000
+#: Batches in which a whole table meets its index.
+BATCHES = 2
 
 
 def text_digest(text: Column) -> Column:
@@ -85,21 +88,31 @@ def deduplicate(
     the least id. A text that the index knows from an earlier batch keeps that batch's id.
     ``group_size`` counts the rows of this batch.
     """
-    rows = steps.keep(
+    rows = _digests(docs, steps, id_col, text_col)
+    groups = _groups(rows, steps)
+    index.append(index.new_only(groups))
+    return _marked(rows, steps.keep(index.keepers(groups)), id_col)
+
+
+def _digests(docs: DataFrame, steps: Steps, id_col: str, text_col: str) -> DataFrame:
+    """(id, digest, n_chars) of each row."""
+    return steps.keep(
         docs.select(
             F.col(id_col).alias("id"),
             text_digest(F.col(text_col)).alias("digest"),
             F.coalesce(F.length(text_col), F.lit(0)).alias("n_chars"),
         )
     )
+
+
+def _groups(rows: DataFrame, steps: Steps) -> DataFrame:
+    """(digest, keep_id, group_size): of each digest the row that stays, by a partial aggregate."""
     best = F.min(F.struct((-F.col("n_chars")).alias("less"), "id"))
-    groups = steps.keep(
-        rows.groupBy("digest")
-        .agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .select("digest", F.col("best.id").alias("keep_id"), "group_size")
-    )
-    index.append(index.new_only(groups))
-    kept = steps.keep(index.keepers(groups))
+    grouped = rows.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    return steps.keep(grouped.select("digest", F.col("best.id").alias("keep_id"), "group_size"))
+
+
+def _marked(rows: DataFrame, kept: DataFrame, id_col: str) -> DataFrame:
     # The digest of a hot group is broadcast, never shuffled.
     return lookup_join(rows.select("id", "digest"), kept, "digest", "group_size", BROADCAST_DIGESTS).select(
         F.col("id").alias(id_col),
@@ -116,11 +129,30 @@ def fresh_index(spark: SparkSession, steps: Steps, n_rows: int) -> DigestIndex:
     return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", buckets, steps.path("index"))
 
 
-def deduplicate_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``deduplicate`` of a whole table against an empty index."""
+def deduplicate_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
+    """One row per row of a whole table, as ``deduplicate``, with ``group_size`` over the table.
+
+    The table meets an empty index in ``batches`` of about equal numbers of rows, longest originals
+    first: a row of a later batch is shorter than all of the earlier ones, so the id that the index
+    has is the one that stays.
+    """
     spark = docs.sparkSession
     steps = Steps(spark)
-    index = fresh_index(spark, steps, docs.count())
-    result = deduplicate(index, docs, steps, id_col, text_col)
+    rows = _digests(docs, steps, id_col, text_col)
+    shares = [1 - at / batches for at in range(1, batches)]
+    n_rows, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx("n_chars", shares) if shares else F.array()).first()
+    index = fresh_index(spark, steps, n_rows)
+    limits = [None, *(cuts or []), None]
+    sizes = None
+    for below, least in zip(limits, limits[1:]):
+        inside = F.lit(True)
+        inside = inside if below is None else inside & (F.col("n_chars") < below)
+        inside = inside if least is None else inside & (F.col("n_chars") >= least)
+        groups = _groups(rows.filter(inside), steps)
+        index.append(index.new_only(groups))
+        part = groups.select("digest", "group_size")
+        sizes = part if sizes is None else sizes.unionByName(part)
+    totals = sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size"))
+    result = _marked(rows, steps.keep(index.keepers(totals)), id_col)
     index.forget()
     return result

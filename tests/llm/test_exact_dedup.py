@@ -53,3 +53,24 @@ def test_batches_meet_the_index(spark):
     plan = known._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
     index.forget()
+
+
+def test_a_table_meets_the_index_in_batches(spark, monkeypatch):
+    plans, found = [], xd.DigestIndex.new_only
+
+    def new_only(index, groups):
+        left = found(index, groups)
+        plans.append((index.exists(), left._jdf.queryExecution().executedPlan().toString(), groups.count(), left.count()))
+        return left
+
+    monkeypatch.setattr(xd.DigestIndex, "new_only", new_only)
+    rows = [(at, f"text {at % 30}" + " " * (at % 7)) for at in range(200)] + [(None, "text 3"), (7, None), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for batches in (1, 2, 5):
+        plans.clear()
+        assert sorted(str(tuple(row)) for row in xd.deduplicate_once(docs, batches=batches).collect()) == expected(rows)
+        assert [exists for exists, *_ in plans] == [False] + [True] * (batches - 1)
+        assert all("SortMergeJoin" in plan and "LeftAnti" in plan for _, plan, *_ in plans[1:])
+        # Later batches hold digests that the index knows; only new ones are appended.
+        assert sum(new for *_, new in plans) == 31
+        assert batches == 1 or any(new < groups for _, _, groups, new in plans[1:])
