@@ -9,7 +9,7 @@ Each shard becomes one file in the run's shared folder, with two levels of an n-
 
 * words: Elias-Fano hashes with exact counts;
 * pairs: Elias-Fano hashes of first words, monotone pointers to their successors, the successors
-  (made monotone by the number of their context) and a count ratio quantised to eight bits.
+  (made monotone by the number of their context) and their counts in steps of 1/8 octave, of 16 bits.
 
 Scoring maps the files into memory and looks up a batch of tokens shard by shard: first the
 context, then its successor between the context's pointers.
@@ -231,8 +231,8 @@ def shard_bytes(blocks: list[tuple[int, bytes]]) -> tuple[bytes, int, int]:
     context, at = np.unique(before, return_index=True)
     pointers = np.append(at, len(pairs)).astype(np.uint64)
     number = np.repeat(np.arange(len(context), dtype=np.uint64), np.diff(pointers.astype(np.int64)))
-    codes = np.rint(STEPS_PER_OCTAVE * np.log2(pairs)).astype(np.uint8)
-    plain = [counts.astype("<u8").tobytes(), codes.tobytes() + bytes(-len(codes) % 8)]
+    codes = np.rint(STEPS_PER_OCTAVE * np.log2(pairs)).astype("<u2")  # up to 8 * 63: counts of 64 bits cannot wrap
+    plain = [counts.astype("<u8").tobytes(), codes.tobytes() + bytes(-codes.nbytes % 8)]
     body = [encode(words), plain[0], encode(context), encode(pointers), encode(number << SUCCESSOR_BITS | after), plain[1]]
     return b"".join(body), len(words), int(counts.sum())
 
@@ -247,7 +247,7 @@ class Shard:
         self.contexts = EliasFano(data, at + 8 * self.words.n)
         self.pointers = EliasFano(data, self.contexts.end)
         self.successors = EliasFano(data, self.pointers.end)
-        self.codes = data[self.successors.end : self.successors.end + self.successors.n]
+        self.codes = data[self.successors.end : self.successors.end + 2 * self.successors.n].view("<u2")
 
     def count(self, codes: np.ndarray) -> np.ndarray:
         """Exact occurrences of words, 0 for unknown ones."""

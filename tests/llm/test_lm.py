@@ -76,3 +76,16 @@ def test_odd_rows(spark):
     assert lm.score_documents(docs.filter("false")).count() == 0
     only_held = docs.filter(lm.held_out(docs.doc_id, 7, 2))
     assert all(row.score == 0 and row.train_tokens == 0 for row in lm.score_documents(only_held).collect())
+
+
+@pytest.mark.parametrize("n", [1, 254, 255, 10**6, 2**32 - 1, 2**32 + 1, 10**12, 10**18])
+def test_large_counts_do_not_wrap(n):
+    before, words = np.array([7, 9], np.uint64), np.array([5 << 40, 6 << 40], np.uint64)
+    counts = np.array([n, 3])
+    blocks = [(1, lm._pack(1, [words], counts)), (2, lm._pack(2, [before, lm.successor(words)], counts))]
+    data, distinct, total = lm.shard_bytes(blocks)
+    shard = lm.Shard(np.frombuffer(data, np.uint8))
+    assert (distinct, total) == (2, n + 3) and len(data) % 8 == 0
+    assert shard.count(np.array([5 << 40, 6 << 40, 1], np.uint64)).tolist() == [n, 3, 0]
+    pairs = shard.pairs(np.array([7, 9, 7], np.uint64), lm.successor(np.array([5 << 40, 6 << 40, 6 << 40], np.uint64)))
+    assert pairs == pytest.approx([n, 3, 0], rel=2 ** (1 / 16) - 1 + 1e-9)
