@@ -49,6 +49,8 @@ MU = 10.0
 BYTES_PER_SHARD = 12_000_000
 FLUSH_TOKENS = 1_500_000
 STEPS_PER_OCTAVE = 8
+#: Words whose hashes a worker remembers, twice: about 180 bytes each.
+WORDS_HELD = 300_000
 SUCCESSOR_BITS = np.uint64(40)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -63,7 +65,7 @@ START, END = np.uint64(_hash(b" start")), np.uint64(_hash(b" end"))
 
 
 def _words() -> Memo:
-    return worker_state("language model", lambda: Memo(_hash))
+    return worker_state("language model", lambda: Memo(_hash, limit=WORDS_HELD))
 
 
 def tokens(text: str) -> np.ndarray:
@@ -259,15 +261,21 @@ class Shard:
     def pairs(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Occurrences of first words with successors as quantised, 0 for unknown ones."""
         out = np.zeros(len(after))
-        context = self.contexts.find(before)
-        known = np.flatnonzero(context >= 0)
+        # Words and pairs repeat: each is looked up once, in the order of the file.
+        words, number = np.unique(before, return_inverse=True)
+        context = self.contexts.find(words)
+        known = np.flatnonzero(context[number] >= 0)
         if len(known):
-            context = context[known]
-            first = self.pointers.access(context).astype(np.int64)
-            stop = self.pointers.access(context + 1).astype(np.int64)
-            at = self.successors.find(context.astype(np.uint64) << SUCCESSOR_BITS | after[known], first, stop)
-            hit = at >= 0
-            out[known[hit]] = np.exp2(self.codes[at[hit]] / STEPS_PER_OCTAVE)
+            held = np.maximum(context, 0)
+            first = self.pointers.access(held).astype(np.int64)
+            stop = self.pointers.access(held + 1).astype(np.int64)
+            keys = held[number[known]].astype(np.uint64) << SUCCESSOR_BITS | after[known]
+            keys, where = np.unique(keys, return_inverse=True)
+            own = np.zeros(len(keys), np.int64)
+            own[where] = number[known]
+            at = self.successors.find(keys, first[own], stop[own])
+            times = np.where(at >= 0, np.exp2(self.codes[np.maximum(at, 0)] / STEPS_PER_OCTAVE), 0.0)
+            out[known] = times[where]
         return out
 
 
@@ -295,8 +303,9 @@ def open_shard(folder: str, shard: int) -> Shard:
             while piece := source.read(1 << 24):
                 copy.write(piece)
             copy.flush()
-            return Shard(np.memmap(copy, np.uint8, "r"))
-    return Shard(np.memmap(file, np.uint8, "r") if os.path.getsize(file) else np.zeros(0, np.uint8))
+            return Shard(np.memmap(copy, np.uint8, "r").view(np.ndarray))
+    # A plain view: a memmap object makes every indexing slower.
+    return Shard(np.memmap(file, np.uint8, "r").view(np.ndarray) if os.path.getsize(file) else np.zeros(0, np.uint8))
 
 
 # ---------------------------------------------------------------- the model

@@ -89,3 +89,26 @@ def test_large_counts_do_not_wrap(n):
     assert shard.count(np.array([5 << 40, 6 << 40, 1], np.uint64)).tolist() == [n, 3, 0]
     pairs = shard.pairs(np.array([7, 9, 7], np.uint64), lm.successor(np.array([5 << 40, 6 << 40, 6 << 40], np.uint64)))
     assert pairs == pytest.approx([n, 3, 0], rel=2 ** (1 / 16) - 1 + 1e-9)
+
+
+def test_a_batch_looks_each_word_and_pair_up_once(monkeypatch):
+    draw = np.random.default_rng(3)
+    words = np.sort(draw.integers(0, 2**63, 50, np.uint64))
+    before, after = np.repeat(words, 50), lm.successor(np.tile(words, 50))
+    before, after, counts = lm._counted_pairs(before, after)
+    data, _, _ = lm.shard_bytes([(2, lm._pack(2, [before, after], counts * 8))])
+    shard, asked, find = lm.Shard(np.frombuffer(data, np.uint8)), [], EliasFano.find
+    monkeypatch.setattr(EliasFano, "find", lambda self, values, *rest: asked.append(len(values)) or find(self, values, *rest))
+    some = draw.integers(0, len(before), 20_000)
+    lost = draw.random(20_000) < 0.1
+    got = shard.pairs(np.where(lost, before[some] + np.uint64(1), before[some]), after[some])
+    assert (got == np.where(lost, 0, 8)).all()
+    assert asked[0] <= 100 and asked[1] <= 2500
+
+
+def test_shard_files_are_plain_arrays(tmp_path):
+    words = np.array([5, 6], np.uint64)
+    data, _, _ = lm.shard_bytes([(1, lm._pack(1, [words], np.array([4, 9])))])
+    lm.write_shard(str(tmp_path), 0, data)
+    shard = lm.open_shard(str(tmp_path), 0)
+    assert type(shard.words.lows) is np.ndarray and shard.count(words).tolist() == [4, 9]
