@@ -132,18 +132,15 @@ class Transducer:
         backwards, joined = self.backwards, self._joined
         starts, tokens = [0], [-1]
         for end in range(1, len(data) + 1):
-            found, node, start = [], backwards, end
-            while start:
+            # Only one token goes on from an encoding to an encoding, so the order of trials is free.
+            node, start = backwards, end
+            while True:
                 start -= 1
-                node = node.get(data[start])
-                if node is None:
-                    break
+                node = node[data[start]]  # never missing: the token sought is still ahead
                 if -1 in node:
-                    found.append((start, node[-1]))
-            for start, token in reversed(found):
-                before = tokens[start]
-                if before < 0 or joined[before, token]:
-                    break
+                    token = node[-1]
+                    if not start or joined[tokens[start], token]:
+                        break
             starts.append(start)
             tokens.append(token)
         ids, end = [], len(data)

@@ -113,3 +113,27 @@ def test_emission_follows_the_bound(library):
             left = len(transducer.window)
             assert left < transducer.lookahead + vocab.longest + 1
         assert ids + transducer.finish() == vocab.merge(data)
+
+
+def test_a_byte_costs_few_steps_through_the_tokens():
+    class Node(dict):
+        steps = 0
+
+        def __getitem__(self, key):
+            Node.steps += key >= 0
+            return dict.__getitem__(self, key)
+
+        def get(self, key, default=None):
+            Node.steps += key >= 0
+            return dict.get(self, key, default)
+
+    def counted(node):
+        return Node({key: counted(below) if isinstance(below, dict) else below for key, below in node.items()})
+
+    vocab, draw = vocabulary(PATH), random.Random(11)
+    transducer = bpe_stream.Transducer(vocab)
+    words = ["".join(draw.choices("etaoinshrdlu", k=12)).encode() for _ in range(2000)]
+    wanted = [transducer.encode(word) for word in words]
+    transducer.backwards = counted(transducer.backwards)
+    assert [transducer.encode(word) for word in words] == wanted == [vocab.merge(word) for word in words]
+    assert Node.steps <= 2.5 * sum(map(len, words))
