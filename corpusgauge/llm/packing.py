@@ -107,6 +107,28 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return worker_state(f"word tokenizer {path}", lambda: WordTokenizer(path))
 
 
+def token_batches(batches: Iterator[pa.RecordBatch], path: str, step: int, end: bytes) -> Iterator[pa.RecordBatch]:
+    """A task's rows of :func:`tokenize`; the tokenizer and its memo stay for the worker's next task."""
+    tokenizer = word_tokenizer(path)
+    for batch in batches:
+        for part in range(0, batch.num_rows, 250):
+            piece = batch.slice(part, 250)
+            words = [tokenizer.split(cell.as_py()) for cell in piece.column("text")]
+            ids = [tokenizer.encode(own) + end for own in words]
+            whole = [len(own) // step * step for own in ids]
+            crcs = [[zlib.crc32(own[at : at + step]) for at in range(0, cut, step)] for own, cut in zip(ids, whole)]
+            tails = [zlib.crc32(own[cut:]) for own, cut in zip(ids, whole)]
+            columns = [
+                piece.column("row"),
+                piece.column("id"),
+                pa.array([len(own) // 4 for own in ids], pa.int64()),
+                pa.array(crcs, pa.list_(pa.int64())),
+                pa.array(tails, pa.int64()),
+                pa.array(ids, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "doc_tokens", "full_crcs", "tail_crc", "ids"])
+
+
 def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(row, id, doc_tokens, full_crcs, tail_crc, ids) per row; ids are little-endian uint32."""
     rows = docs.select(
@@ -120,25 +142,7 @@ def tokenize(docs: DataFrame, path: str, window: int, end_id: int, id_col: str,
     step = 4 * window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = word_tokenizer(path)
-        for batch in batches:
-            for part in range(0, batch.num_rows, 250):
-                piece = batch.slice(part, 250)
-                words = [tokenizer.split(cell.as_py()) for cell in piece.column("text")]
-                ids = [tokenizer.encode(own) + end for own in words]
-                whole = [len(own) // step * step for own in ids]
-                crcs = [[zlib.crc32(own[at : at + step]) for at in range(0, cut, step)] for own, cut in zip(ids, whole)]
-                tails = [zlib.crc32(own[cut:]) for own, cut in zip(ids, whole)]
-                columns = [
-                    piece.column("row"),
-                    piece.column("id"),
-                    pa.array([len(own) // 4 for own in ids], pa.int64()),
-                    pa.array(crcs, pa.list_(pa.int64())),
-                    pa.array(tails, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "doc_tokens", "full_crcs", "tail_crc", "ids"])
-        worker_state("none")  # a worker that waits for its next task holds no memo
+        return token_batches(batches, path, step, end)
 
     return rows.mapInArrow(run, schema)
 
@@ -308,6 +312,7 @@ def pack(
     carried = ["row", "id", "length", "doc_tokens", "tail_crc"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("none")  # all texts are cut: the workers hold no memo any more
         for batch in batches:
             number = batch.column("number").to_numpy() - 1
             length = batch.column("length").to_numpy()
@@ -338,6 +343,7 @@ def pack(
     cut_rows = tokens.select("row", "id", "doc_tokens", "ids").join(F.broadcast(cut) if few else cut, "row")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("none")
         for batch in batches:
             lines = batch.select(["doc_tokens", "ids", "length", "sequence_id", "offset"]).to_pylist()
             source, out = [], []

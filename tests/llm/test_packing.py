@@ -111,3 +111,17 @@ def test_large_ids_beside_null_ids(spark):
     got = [row.doc_id for row in packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id").collect()]
     assert set(got) == {doc_id for doc_id, _ in rows}
     assert len(got) >= len(rows)
+
+
+def test_tasks_of_a_worker_share_the_tokenizer(monkeypatch):
+    built = []
+    make = packing.WordTokenizer
+    monkeypatch.setattr(packing, "WordTokenizer", lambda path: built.append(path) or make(path))
+    packing.worker_state("none")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for _ in range(3):
+        batch = packing.pa.RecordBatch.from_pydict({"row": [1, 2], "id": [5, None], "text": ["some words", ""]})
+        (out,) = packing.token_batches(iter([batch]), path, 8192, bytes([1, 0, 0, 0]))
+        assert out.column("doc_tokens").to_pylist()[1] == 1
+    assert len(built) == 1
+    packing.worker_state("none")
