@@ -32,9 +32,13 @@ def word_counts(
     )
 
 
-def _counts_of(df: DataFrame, counts: DataFrame | None, id: str, text: str, low: int, high: int) -> DataFrame:
+def _counts_of(
+    df: DataFrame, counts: DataFrame | None, id: str, text: str, low: int, high: int, exact: bool = False
+) -> DataFrame:
     if counts is None:
         return word_counts(df, id, text, low, high)
+    if exact:  # of these very rows: no join by id, only what it would not keep
+        return counts.filter(F.col("id").isNotNull())
     return counts.join(df.select(F.col(id).alias("id")), "id", "left_semi")
 
 
@@ -48,7 +52,7 @@ class TfidfModel:
     """The fitted vocabulary (feature, frequency, index), its size, and the training row count.
 
     Where ``counts`` are given, a stored :func:`word_counts` table of at least the rows asked for,
-    their texts are not cut again.
+    their texts are not cut again; ``exact`` says that it is of just these rows.
     """
 
     vocabulary: DataFrame
@@ -57,14 +61,39 @@ class TfidfModel:
     low: int
     high: int
 
+    def _weighted(self, counts: DataFrame) -> DataFrame:
+        return lookup_join(counts, self.vocabulary, "feature", "frequency").withColumn(
+            "_weight", word_weight(F.col("tf"), self.documents, F.col("frequency"))
+        )
+
+    def summary(
+        self,
+        df: DataFrame,
+        id: str = "question_id",
+        text: str = "question_text",
+        counts: DataFrame | None = None,
+        exact: bool = False,
+    ) -> DataFrame:
+        """(id, features, top_weight, weight_sum) of each text's postings, which are not made."""
+        counts = _counts_of(df, counts, id, text, self.low, self.high, exact)
+        norm = F.sqrt(F.sum(F.col("_weight") * F.col("_weight")))
+        return self._weighted(counts).groupBy("id").agg(
+            F.count(F.lit(1)).alias("features"),
+            (F.max("_weight") / norm).alias("top_weight"),
+            (F.sum("_weight") / norm).alias("weight_sum"),
+        )
+
     def postings(
-        self, df: DataFrame, id: str = "question_id", text: str = "question_text", counts: DataFrame | None = None
+        self,
+        df: DataFrame,
+        id: str = "question_id",
+        text: str = "question_text",
+        counts: DataFrame | None = None,
+        exact: bool = False,
     ) -> DataFrame:
         """(id, feature, index, weight) with weights of unit length per text."""
-        counts = _counts_of(df, counts, id, text, self.low, self.high)
-        weighted = lookup_join(counts, self.vocabulary, "feature", "frequency").withColumn(
-            "_weight", word_weight(F.col("tf"), self.documents, F.col("frequency"))
-        )
+        counts = _counts_of(df, counts, id, text, self.low, self.high, exact)
+        weighted = self._weighted(counts)
         norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("_weight") * F.col("_weight"))).alias("_norm"))
         return weighted.join(norms, "id").select(
             "id", "feature", "index", (F.col("_weight") / F.col("_norm")).alias("weight")
@@ -105,10 +134,11 @@ def fit_tfidf(
     text: str = "question_text",
     max_features: int | None = None,
     counts: DataFrame | None = None,
+    exact: bool = False,
 ) -> TfidfModel:
     """Vocabulary of features found in at least ``min_df`` rows, numbered in feature order."""
     frequencies = (
-        _counts_of(df, counts, id, text, low, high)
+        _counts_of(df, counts, id, text, low, high, exact)
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("frequency"))
         .filter(F.col("frequency") >= min_df)

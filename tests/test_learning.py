@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from corpusgauge.operators import models
+from corpusgauge.operators import features, models
 
 LABELS = ["a", "b"]
 SETTING = models.Setting("logistic_regression", 1, 1, 10.0, None, 50)
@@ -99,3 +99,21 @@ def test_registered_queries_ask_for_the_whole_job(monkeypatch):
     learning.source_holdout(None, "")
     assert asked["holdout"] == "split_name = 'development'"
     assert learning.LOGISTIC.max_iter == learning.MACHINE.max_iter == 5000
+
+
+def test_counts_of_just_these_rows_are_not_joined_by_id(spark):
+    rows = spark.createDataFrame(
+        [(1, "aa bb bb"), (2, "aa cc"), (2, "cc dd"), (None, "aa bb"), (3, None)], "question_id long, question_text string"
+    )
+    counts = features.materialize(features.word_counts(rows))
+    old, new = (features.fit_tfidf(rows, min_df=2, counts=counts, **more) for more in ({}, {"exact": True}))
+    assert sorted(old.vocabulary.collect()) == sorted(new.vocabulary.collect())
+    wanted, got = old.postings(rows, counts=counts), new.postings(rows, counts=counts, exact=True)
+    assert sorted(wanted.collect()) == sorted(got.collect())
+    assert "LeftSemi" not in got._jdf.queryExecution().toString()
+    sums = {row.id: row for row in new.summary(rows, counts=counts, exact=True).collect()}
+    for id in (1, 2):
+        weights = [row.weight for row in got.collect() if row.id == id]
+        assert sums[id].features == len(weights)
+        assert abs(sums[id].top_weight - max(weights)) < 1e-12 and abs(sums[id].weight_sum - sum(weights)) < 1e-12
+    assert len(sums) == 2
