@@ -117,3 +117,21 @@ def test_counts_of_just_these_rows_are_not_joined_by_id(spark):
         assert sums[id].features == len(weights)
         assert abs(sums[id].top_weight - max(weights)) < 1e-12 and abs(sums[id].weight_sum - sum(weights)) < 1e-12
     assert len(sums) == 2
+
+
+@pytest.mark.parametrize("name", models.MODELS)
+def test_test_rows_are_scored_inside_the_fit(spark, monkeypatch, name):
+    """As by the model's weights; before, all words of all rows were stored and joined with the weights."""
+    rows = texts(spark).withColumn("split_name", F.when(F.col("question_id") % 3 == 0, "test").when(F.col("question_id") >= 0, "development"))
+    more = [(None, "apple", "a", "s0", 0, 0, "test"), (6, "brick twice", "a", "s1", 1, 0, "test"), (48, None, "b", "s1", 1, 0, "test")]
+    rows = rows.unionByName(spark.createDataFrame([*more, (49, "brick", "b", "s0", 1, 0, None)], rows.schema))
+    setting = models.Setting(name, 1, 2, 1.0, None, 50)
+    development = rows.filter("split_name = 'development'")
+    model = models.fit_classifier(development, setting, LABELS, counts=features.word_counts(rows))
+    wanted = model.score(rows.filter("split_name = 'test'"), counts=features.word_counts(rows))
+    shown = ["predicted_label", "confidence", "decision_score"]
+    wanted = sorted(str([r[0], *r[1:2], *(x and round(x, 7) for x in r[2:])]) for r in wanted.select("question_id", *shown).collect())
+    monkeypatch.setattr(models, "word_counts", None)
+    scored = models.score_test(rows, setting, LABELS, "run")
+    got = sorted(str([r[0], *r[1:2], *(x and round(x, 7) for x in r[2:])]) for r in scored.select("source_question_id", *shown).collect())
+    assert len(got) == 19 and got == wanted
