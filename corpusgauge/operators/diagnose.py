@@ -148,11 +148,15 @@ def source_dominance(postings: DataFrame, documents: DataFrame, source: str = "s
     A feature's weight in a source is its mean over all documents of the source; the ratio is
     the largest mean over the sum of means. ``documents`` is (id, source).
     """
+    sums = postings.join(documents, "id").groupBy("feature", source).agg(F.sum("weight").alias("total"))
+    return dominance_of_sums(sums, documents, source)
+
+
+def dominance_of_sums(sums: DataFrame, documents: DataFrame, source: str = "src") -> DataFrame:
+    """:func:`source_dominance` from the postings' weights summed by feature and source (feature, source, total)."""
     sizes = documents.groupBy(source).agg(F.count(F.lit(1)).alias("_docs"))
     means = (
-        postings.join(documents, "id")
-        .groupBy("feature", source)
-        .agg(F.sum("weight").alias("_sum"))
+        sums.withColumnRenamed("total", "_sum")
         .join(sizes, source)
         .withColumn("_mean", F.col("_sum") / F.col("_docs"))
     )
@@ -162,6 +166,15 @@ def source_dominance(postings: DataFrame, documents: DataFrame, source: str = "s
     )
 
 
+def leading_features(weights: DataFrame, top: int, label: str = "subject") -> DataFrame:
+    """The ``top`` largest and smallest weights of each label, with their direction and rank."""
+    up = Window.partitionBy(label).orderBy(F.desc("coefficient"), "feature")
+    down = Window.partitionBy(label).orderBy(F.asc("coefficient"), "feature")
+    best = weights.select("*", F.lit("positive").alias("direction"), F.row_number().over(up).alias("rank"))
+    worst = weights.select("*", F.lit("negative").alias("direction"), F.row_number().over(down).alias("rank"))
+    return best.filter(F.col("rank") <= top).unionByName(worst.filter(F.col("rank") <= top))
+
+
 def top_features(
     weights: DataFrame,
     top: int = 20,
@@ -174,11 +187,7 @@ def top_features(
     ``dominance`` comes from :func:`source_dominance`; ``sources`` holds the source names in one
     column. A feature is a possible shortcut when one source has at least 0.8 of its mean weight.
     """
-    up = Window.partitionBy(label).orderBy(F.desc("coefficient"), "feature")
-    down = Window.partitionBy(label).orderBy(F.asc("coefficient"), "feature")
-    best = weights.select("*", F.lit("positive").alias("direction"), F.row_number().over(up).alias("rank"))
-    worst = weights.select("*", F.lit("negative").alias("direction"), F.row_number().over(down).alias("rank"))
-    ranked = best.filter(F.col("rank") <= top).unionByName(worst.filter(F.col("rank") <= top))
+    ranked = leading_features(weights, top, label)
     if dominance is not None:
         ranked = ranked.join(dominance, "feature", "left")
     else:

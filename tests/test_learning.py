@@ -135,3 +135,21 @@ def test_test_rows_are_scored_inside_the_fit(spark, monkeypatch, name):
     scored = models.score_test(rows, setting, LABELS, "run")
     got = sorted(str([r[0], *r[1:2], *(x and round(x, 7) for x in r[2:])]) for r in scored.select("source_question_id", *shown).collect())
     assert len(got) == 19 and got == wanted
+
+
+def test_sources_are_summed_for_the_leading_features_only(spark):
+    """As from all postings; before, these were made and joined for every feature of every row."""
+    from corpusgauge.operators import diagnose
+
+    rows = texts(spark)
+    rows = rows.unionByName(rows.filter("question_id < 3")).withColumn("src", F.when(F.col("question_id") != 7, F.col("src")))
+    rows = rows.unionByName(spark.createDataFrame([(None, "apple none", "a", "s9", 0, 0)], rows.schema))
+    model = models.fit_classifier(rows, SETTING, LABELS)
+    documents = rows.select(F.col("question_id").alias("id"), "src")
+    wanted = diagnose.source_dominance(model.tfidf.postings(rows), documents)
+    wanted = diagnose.top_features(model.weights(), 2, wanted, rows.select("src")).collect()
+    leading = diagnose.leading_features(model.weights(), 2).select("subject", "feature", "coefficient").distinct()
+    sums = model.group_sums(documents, leading.select("feature").distinct())
+    got = diagnose.top_features(leading, 2, diagnose.dominance_of_sums(sums, documents), rows.select("src")).collect()
+    tidy = lambda found: sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in found)
+    assert tidy(got) == tidy(wanted) and len(got) == 8
